@@ -6,10 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketloom.llm import exact_dedup, url_filter
+from bucketloom.llm import bpe_automaton, exact_dedup, packing, url_filter
 from bucketloom.llm.common import ship, table
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file, on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -27,7 +42,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op9_exact_dedup, op10_url_filter]
+    found = [op4_bpe_automaton, op6_best_fit_packing, op9_exact_dedup, op10_url_filter]
     return {f.__name__: _shipped(f) for f in found}
 
 
