@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketloom.llm import bpe_automaton, exact_dedup, packing, url_filter
+from bucketloom.llm import bpe_automaton, exact_dedup, packing, sharding, url_filter
 from bucketloom.llm.common import ship, table
 
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -42,7 +46,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_bpe_automaton, op6_best_fit_packing, op9_exact_dedup, op10_url_filter]
+    found = [op2_histogram_shards, op4_bpe_automaton, op6_best_fit_packing, op9_exact_dedup, op10_url_filter]
     return {f.__name__: _shipped(f) for f in found}
 
 
