@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketloom.llm import bpe_automaton, exact_dedup, packing, sharding, url_filter
+from bucketloom.llm import bpe_automaton, exact_dedup, language_id, packing, sharding, url_filter
 from bucketloom.llm.common import ship, table
 
 
@@ -25,6 +25,11 @@ def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.learn(docs.where(~language_id.held_out(docs["doc_id"]))))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -46,7 +51,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_histogram_shards, op4_bpe_automaton, op6_best_fit_packing, op9_exact_dedup, op10_url_filter]
+    found = [op2_histogram_shards, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op9_exact_dedup, op10_url_filter]
     return {f.__name__: _shipped(f) for f in found}
 
 
