@@ -124,7 +124,8 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, count: str, total:
     other = rand if isinstance(kind, T.LongType) else F.concat(F.lit("~"), rand.cast("string"))
     out = left.join(F.broadcast(hot), left[key] == F.col("__hk"), "left")
     out = out.withColumn("__jk", F.when(F.col("__hk").isNotNull() | F.col(key).isNull(), other).otherwise(F.col(key)))
-    out = out.join(cold, F.col("__jk") == F.col("__ck"), "left")
+    # Always a shuffle: a broadcast at small sizes only would be another plan than the one for large ones.
+    out = out.join(cold.hint("merge"), F.col("__jk") == F.col("__ck"), "left")
     v = F.when(F.col("__hk").isNotNull(), F.col("__hv")).when(F.col(key).isNotNull(), F.col("__cv"))
     out = out.withColumn("__v", v)
     return out.select(*[F.col(c) for c in left.columns], *[F.col(f"__v.{c}").alias(c) for c in values])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketloom.llm import bpe_automaton, exact_dedup, language_id, packing, sharding, url_filter
+from bucketloom.llm import bpe_automaton, exact_dedup, language_id, packing, quality, sharding, url_filter
 from bucketloom.llm.common import ship, table
 
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_histogram_shards, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op9_exact_dedup, op10_url_filter]
+    found = [op1_quality_perplexity, op2_histogram_shards, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op9_exact_dedup, op10_url_filter]
     return {f.__name__: _shipped(f) for f in found}
 
 
