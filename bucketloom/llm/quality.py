@@ -8,6 +8,9 @@ trigrams at most whatever the input, and is broadcast. Spark then counts the tri
 weights stand in arrays sorted by the n-grams' 64-bit hashes and are found by binary search; a worker looks up
 each of the possible trigrams once and scores texts from that table.
 
+A text may hold passages in other languages. Where a stretch of STRETCH characters is worse by POOR than
+its language's model is on average, and another language's model fits it better, it counts by that one.
+
 A language's band is the median of its texts' log perplexity per character plus and minus WIDTH robust standard
 deviations (SLACK at least). Texts outside are rejected. Each distinct text counts once in a band, so that copies of one text
 can't move it; bands are read off a histogram of bounded size.
@@ -33,7 +36,8 @@ MIN_WORDS, MOST_REPEATED = 50, 50
 MAX_LANGUAGES = 16
 SYMBOLS = 64
 EDGE, SPACE, DIGIT, OTHER = range(4)
-WIDTH, SLACK = 8.0, 0.35
+WIDTH, SLACK = 4.5, 0.1
+STRETCH, POOR = 64, 0.15
 #: Width of a histogram's cells, in log perplexity.
 CELL = 0.005
 #: Texts of a batch, in bytes, that are scored together.
@@ -167,6 +171,8 @@ class HashedModel:
     keys: np.ndarray
     log_p: np.ndarray
     log_back: np.ndarray
+    #: Mean negative log probability of a character of the counted texts.
+    entropy: float = 0.0
 
     def find(self, order: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each n-gram is there, and where."""
@@ -206,7 +212,8 @@ def kneser_ney(counts: np.ndarray, chars: list[int]) -> HashedModel:
         back.append(np.log(np.maximum(weight.ravel()[seen], 1e-12)) if weight is not None else np.zeros(len(seen)))
     k = np.concatenate(keys)
     order = np.argsort(k)
-    return HashedModel(tuple(chars), k[order], np.concatenate(p)[order].astype(np.float32), np.concatenate(back)[order].astype(np.float32))
+    entropy = float(-(c3 * np.log(np.maximum(p3, 1e-300))).sum() / max(1, c3.sum()))
+    return HashedModel(tuple(chars), k[order], np.concatenate(p)[order].astype(np.float32), np.concatenate(back)[order].astype(np.float32), entropy)
 
 
 @dataclass(frozen=True)
@@ -233,6 +240,17 @@ class _Scorer:
             self.tables[name] = alphabet_table(list(m.chars)), m.log_prob(np.arange(SYMBOLS**3)).astype(np.float32)
         return self.tables[name]
 
+    def _stretches(self, name: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Negative log probability of each stretch of all texts, its characters, and the stretches of each text."""
+        symbol, log_p = self.table(name)
+        c, lens = code_points(texts)
+        code, n = _codes(symbol[c], lens)
+        parts = -(-n // STRETCH)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = np.repeat(np.cumsum(n) - n, parts) + nth * STRETCH
+        size = np.diff(np.append(begin, len(code)))
+        return -np.add.reduceat(log_p[code], begin, dtype=np.float64), size, parts
+
     def log_perplexity(self, texts: list[str | None], langs: list[str | None]) -> np.ndarray:
         """Mean negative log probability of a character of each text; NaN for empty ones."""
         out = np.full(len(texts), np.nan)
@@ -243,12 +261,16 @@ class _Scorer:
         for name, rows in by.items():
             if name not in self.models.by_lang:
                 continue
-            symbol, log_p = self.table(name)
-            c, lens = code_points([texts[i] for i in rows])
-            code, n = _codes(symbol[c], lens)
-            has = np.flatnonzero(n)
-            sums = np.add.reduceat(log_p[code], (np.cumsum(n) - n)[has], dtype=np.float64)
-            out[np.array(rows)[has]] = -sums / n[has]
+            nats, size, parts = self._stretches(name, [texts[i] for i in rows])
+            doc = np.repeat(np.arange(len(rows)), parts)
+            poor = np.unique(doc[nats > size * (self.models.by_lang[name].entropy + POOR)])
+            if len(poor) and len(self.models.by_lang) > 1:
+                at = np.isin(doc, poor)
+                some = [texts[rows[d]] for d in poor]
+                least = np.min([self._stretches(x, some)[0] for x in self.models.by_lang if x not in (name, REST)] or [nats[at]], axis=0)
+                usual = size[at] * (self.models.by_lang[name].entropy + POOR)
+                nats[at] = np.where(nats[at] > usual, np.minimum(nats[at], least), nats[at])
+            out[rows] = np.bincount(doc, nats, len(rows)) / np.bincount(doc, size, len(rows))
         return out
 
 
