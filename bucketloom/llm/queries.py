@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketloom.llm import bpe_automaton, exact_dedup, language_id, packing, quality, sharding, url_filter
+from bucketloom.llm import bpe_automaton, exact_dedup, language_id, near_dedup, packing, quality, sharding, url_filter
 from bucketloom.llm.common import ship, table
 
 
@@ -38,6 +38,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("row_hash")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_perplexity, op2_histogram_shards, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op9_exact_dedup, op10_url_filter]
+    found = [op1_quality_perplexity, op2_histogram_shards, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op7_ngram_jaccard, op9_exact_dedup, op10_url_filter]
     return {f.__name__: _shipped(f) for f in found}
 
 
