@@ -33,16 +33,18 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from bucketloom.llm.common import map_batches, only, texts_of
+from bucketloom.llm.common import Recent, map_batches, only, texts_of
 
-#: Entries of a worker's tables of words and of arcs, after which a table starts anew.
+#: Entries of each generation of a worker's table of words, and of its table of arcs, which then starts anew.
 WORDS, ARCS = 400_000, 1_000_000
 
 #: The split pattern of byte-level vocabularies, with white space as Unicode defines it (a fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: White space that isn't ASCII's, after which a text can't be cut at ASCII white space.
 _ODD_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Stretches that no word of SPLIT reaches over, and one's letters and the punctuation after them, which it always parts.
 _UNIT = re.compile(rb"[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+")
+_STEM = re.compile(rb"([\x20\x09-\x0d]*[A-Za-z\x80-\xff]*[A-Za-z])([,.;:!?|%&*#$]+)")
 
 
 def byte_symbols() -> dict[str, int]:
@@ -103,21 +105,42 @@ class Automaton:
                 c, until = self.left[c], 2 * kc + 1  # the arc was added after its gadget cut one
 
     def encode(self, word: bytes) -> list[int]:
-        n, prefixes = len(word), self.prefixes
-        reached, begin = [-1] * (n + 1), [0] * (n + 1)
-        for i in range(n):
-            state = reached[i]
+        """The labels of the one path of arcs that spells the word.
+
+        From each position the longest label that an arc allows is followed first. A position is only ever
+        reached by the right tokenization of what lies before it, so one that leads nowhere is never tried again.
+        """
+        n, prefixes, arc = len(word), self.prefixes, self.arc
+        path: list[int] = []
+        at: list[int] = []  # where each label of the path begins
+        dead: set[int] = set()
+        i = 0
+        while i < n:
+            found, stop, shorter = -1, i, []
             for j in range(i + 1, n + 1):
                 t = prefixes.get(word[i:j])
                 if t is None:
                     break
-                if t >= 0 and (not i or self.arc(state, t)):
-                    reached[j], begin[j] = t, i
-        out = []
-        while n:
-            out.append(reached[n])
-            n = begin[n]
-        return out[::-1]
+                if t >= 0 and j not in dead:
+                    if found >= 0:
+                        shorter.append((found, stop))
+                    found, stop = t, j
+            if found >= 0 and path:
+                p = path[-1]
+                while not arc(p, found):
+                    if not shorter:
+                        found = -1
+                        break
+                    found, stop = shorter.pop()
+            if found >= 0:
+                path.append(found)
+                at.append(i)
+                i = stop
+            else:
+                dead.add(i)
+                path.pop()
+                i = at.pop()
+        return path
 
 
 class Codec:
@@ -134,16 +157,23 @@ class Codec:
         self.by_id = [self.labels.get(i, b"") for i in range(max(self.labels) + 1)]
         self.split = regex.compile(SPLIT)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words: dict[bytes, bytes] = {}
+        self.words, self.stems = Recent(WORDS), Recent(WORDS)
 
     def _unit(self, unit: bytes) -> bytes:
         """Packed ids of a stretch of text that no word reaches over."""
-        if len(self.words) >= WORDS:
-            self.words.clear()
-        ids = [t for w in self.split.findall(unit.decode()) for t in self.automaton.encode(w.encode())]
-        found = struct.pack(f"<{len(ids)}I", *ids)
+        m = _STEM.fullmatch(unit)
+        found = b"".join(map(self._stem, m.groups())) if m else self._stem(unit)
         if len(unit) <= 64:
-            self.words[unit] = found
+            self.words.put(unit, found)
+        return found
+
+    def _stem(self, unit: bytes) -> bytes:
+        found = self.stems.get(unit)
+        if found is None:
+            ids = [t for w in self.split.findall(unit.decode()) for t in self.automaton.encode(w.encode())]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(unit) <= 64:
+                self.stems.put(unit, found)
         return found
 
     def _ordinary(self, text: bytes) -> bytes:
@@ -152,7 +182,7 @@ class Codec:
         if not text.isascii() and _ODD_SPACE.search(text.decode()):
             return self._unit(text)
         units = _UNIT.findall(text)
-        found = list(map(self.words.get, units))
+        found = list(map(self.words.young.get, units))
         if None in found:
             for i, x in enumerate(found):
                 if x is None:

@@ -166,6 +166,26 @@ def texts_of(col: pa.Array) -> list[bytes]:
     return [x if x is not None else b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
+class Recent:
+    """A bounded table of what was met before: two generations, of which the older goes when the younger is full."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
