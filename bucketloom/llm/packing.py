@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import Tables, bounded, only, texts_of
+from bucketloom.llm.common import Recent, Tables, bounded, only, texts_of
 
 CAPACITY, END_ID = 4096, 1
 SLACK = 16
 LOCAL_PIECES, NODE_BINS, FAN_IN = 32_768, 20_000, 8
-#: Entries of a worker's table of words.
+#: Entries of each generation of a worker's tables of words.
 WORDS = 400_000
 
 
@@ -73,8 +74,12 @@ class BestFit:
                 self.mask ^= 1 << room
 
 
+#: A word and the punctuation after it, between which the vocabulary's split pattern always cuts.
+_STEM = re.compile(rb"([A-Za-z\x80-\xff]*[A-Za-z])([,.;:!?|%&*#$]+)")
+
+
 class Tokens:
-    """Ids of whole texts by the library, with a table of words met before."""
+    """Ids of whole texts by the library, with tables of words met before."""
 
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -83,27 +88,50 @@ class Tokens:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words: dict[bytes, bytes] = {}
+        self.words, self.stems = Recent(WORDS), Recent(WORDS)
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        out = []
+        for i in range(0, len(words), 4096):
+            part = self.tokenizer.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in part]
+        return out
+
+    def _missing(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that aren't in the table, put together from their stems'."""
+        known: dict[bytes, bytes] = {}
+        parts: dict[bytes, tuple[bytes, ...]] = {}
+        for w in words:
+            found = self.words.get(w)
+            if found is not None:
+                known[w] = found
+                continue
+            m = _STEM.fullmatch(w)
+            # ASCII capitals are lower-cased by the vocabulary anyway; not where a special token could come of it.
+            parts[w] = tuple(x if b"<" in w else x.lower() for x in (m.groups() if m else (w,)))
+        stems = {x: self.stems.get(x) for ps in parts.values() for x in ps}
+        todo = [x for x, ids in stems.items() if ids is None]
+        for x, ids in zip(todo, self._ids(todo), strict=True):
+            stems[x] = ids
+            if len(x) <= 64:
+                self.stems.put(x, ids)
+        for w, ps in parts.items():
+            known[w] = b"".join(map(stems.__getitem__, ps))
+            if len(w) <= 64:
+                self.words.put(w, known[w])
+        return known
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [x.split() for x in texts]
-        if len(self.words) >= WORDS:
-            self.words.clear()
-        new: dict[bytes, bytes] = {}
-        words = self.words
-        miss = {w for ws in split for w in ws if w not in words}
-        todo = list(miss)
-        for i in range(0, len(todo), 4096):
-            part = todo[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                new[w] = np.array(e.ids, "<u4").tobytes()
-        words.update((w, x) for w, x in new.items() if len(w) <= 64)
-        long = {w: x for w, x in new.items() if len(w) > 64}
-        get = words.__getitem__
-        if long:
-            get = lambda w: long[w] if w in long else words[w]
-        return [b"".join(map(get, ws)) for ws in split]
+        out = []
+        for text in texts:
+            words = text.split()
+            found = list(map(self.words.young.get, words))
+            if None in found:
+                missing = self._missing({w for w, x in zip(words, found, strict=True) if x is None})
+                found = [missing[w] if x is None else x for w, x in zip(words, found, strict=True)]
+            out.append(b"".join(found))
+        return out
 
 
 _tokens: dict[str, Tokens] = {}
