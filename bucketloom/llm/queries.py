@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketloom.llm import bpe_automaton, exact_dedup, language_id, near_dedup, packing, quality, sharding, url_filter
+from bucketloom.llm import bpe_automaton, exact_dedup, html_text, language_id, near_dedup, packing, quality, sharding, url_filter
 from bucketloom.llm.common import ship, table
 
 
@@ -42,6 +42,10 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
+def op8_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_perplexity, op2_histogram_shards, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op7_ngram_jaccard, op9_exact_dedup, op10_url_filter]
+    found = [op1_quality_perplexity, op2_histogram_shards, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op7_ngram_jaccard, op8_host_suffix_text, op9_exact_dedup, op10_url_filter]
     return {f.__name__: _shipped(f) for f in found}
 
 
