@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketloom.llm import bpe_automaton, exact_dedup, html_text, language_id, near_dedup, packing, quality, sharding, url_filter
+from bucketloom.llm import bpe_automaton, exact_dedup, html_text, language_id, line_dedup, near_dedup, packing, quality, sharding, url_filter
 from bucketloom.llm.common import ship, table
 
 
@@ -25,6 +25,10 @@ def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op3_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -63,7 +67,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_perplexity, op2_histogram_shards, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op7_ngram_jaccard, op8_host_suffix_text, op9_exact_dedup, op10_url_filter]
+    found = [op1_quality_perplexity, op2_histogram_shards, op3_winnowed_lines, op4_bpe_automaton, op5_language_mixture, op6_best_fit_packing, op7_ngram_jaccard, op8_host_suffix_text, op9_exact_dedup, op10_url_filter]
     return {f.__name__: _shipped(f) for f in found}
 
 
