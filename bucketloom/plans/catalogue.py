@@ -318,11 +318,11 @@ def metric_type_inference(spark, d):
   SELECT bucket_start, metric, shard, 'delta' AS aggregate, delta_v AS value FROM r WHERE is_counter = 1 UNION ALL SELECT bucket_start, metric, shard, 'count', n::DOUBLE FROM r
   UNION ALL SELECT bucket_start, metric, shard, 'avg', sum_v / n FROM r WHERE is_counter = 0 UNION ALL SELECT bucket_start, metric, shard, 'min', min_v FROM r WHERE is_counter = 0
   UNION ALL SELECT bucket_start, metric, shard, 'max', max_v FROM r WHERE is_counter = 0)
-SELECT bucket_start, 'rollup_' || metric || '_' || aggregate AS name, shard, round(value, 4) AS value FROM u WHERE value IS NOT NULL""")
+SELECT bucket_start, 'rollup_' || metric || '_' || aggregate AS name, shard, round(value, 9) AS value FROM u WHERE value IS NOT NULL""")
 def vm_projection_long(spark, d):
     r = A.rollup(raw_records(spark, d, "metrics"), SPECS["metrics"], Granularity("1d", DAY))
     long = projections.long_form(r)
-    return long.select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "name", F.substring(F.col("dimensions")["route"], 2, 10).alias("shard"), F.round("value", 4).alias("value"))
+    return long.select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "name", F.substring(F.col("dimensions")["route"], 2, 10).alias("shard"), F.round("value", 9).alias("value"))
 
 
 @query()
