@@ -184,14 +184,13 @@ class HashedModel:
         """log p of trigrams, backing off to bigrams and single symbols."""
         out, back = np.zeros(len(code)), np.zeros(len(code))
         todo = np.arange(len(code))
-        for order in (3, 2, 1):
+        for order in (3, 2, 1):  # all single symbols are found
             has, at = self.find(order, code[todo] % SYMBOLS**order)
             out[todo[has]] = back[todo[has]] + self.log_p[at[has]]
             todo = todo[~has]
             if order > 1:
                 known, at = self.find(order - 1, code[todo] // SYMBOLS % SYMBOLS ** (order - 1))
                 back[todo[known]] += self.log_back[at[known]]
-        out[todo] = back[todo] - np.log(SYMBOLS)
         return out
 
 
@@ -205,8 +204,8 @@ def kneser_ney(counts: np.ndarray, chars: list[int]) -> HashedModel:
     p3, w3 = _smoothed(c3, p2)
     keys, p, back = [], [], []
     for order, (c, prob, weight) in enumerate([(c1, p1, w2), (c2, p2, w3), (c3, p3, None)], 1):
-        # A bigram that only ever is a context (after an edge) keeps its back-off weight too.
-        seen = np.flatnonzero((c.ravel() > 0) | (weight.ravel() < 1 if weight is not None else False))
+        # A bigram that only ever is a context (after an edge) keeps its back-off weight too; all single symbols are there.
+        seen = np.flatnonzero((c.ravel() > 0) | (weight.ravel() < 1 if weight is not None else False) | (order == 1))
         keys.append(ngram_hash(order, seen))
         p.append(np.log(prob.ravel()[seen]))
         back.append(np.log(np.maximum(weight.ravel()[seen], 1e-12)) if weight is not None else np.zeros(len(seen)))
