@@ -85,7 +85,8 @@ def _status(args, s: config.Settings, clock) -> int:
 
 def _tiering(args, s: config.Settings, clock) -> int:
     spark = session()
-    found = tiering.safety(tiering.probe(spark, s.urls.get("metrics"), s.urls.get("logs")), s.granularities[0]).collect()
+    live = {k: u for k, u in s.urls.items() if "://" in u and not u.startswith("file:")}
+    found = tiering.safety(tiering.probe(spark, live.get("metrics"), live.get("logs")), s.granularities[0]).collect()
     for r in found:
         print(json.dumps(r.asDict()))
     for r in tiering.ratio(spark, s.archive, s.granularities[0].name).orderBy("signal").collect():
