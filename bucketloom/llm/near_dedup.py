@@ -12,10 +12,10 @@ when all texts' shingles are counted (MAX_FREQUENT at most, so they are broadcas
 
 So each class is indexed by the rare shingles of its prefix and by the combinations of two successive frequent ones of its
 extended prefix. Groups are wanted, so not every pair of a bucket is compared. First each member is compared with its bucket's first
-one (or the one before it, where sizes rule the first out), inside blocks of the index and then between blocks, which leaves no bucket
-in one task. What this links is contracted. Buckets that still hold several components are then compared by more such rounds and in
-the end completely, pair by pair across components, with no cap. A pair is verified on the whole sets, after an exact bound has ruled out most: each class
-carries the parities of its shingles' hashes in SIG_BITS cells, and |x & y| is at most (|x| + |y| - cells that differ) / 2.
+one and with two that come shortly before it by size, inside blocks of the index and then between blocks, which leaves no bucket
+in one task. What this links is contracted. Buckets that still hold several components are then compared completely, pair by pair across
+components, in blocks and with no cap. A pair is verified on the whole sets, after an exact bound has ruled out most: each class
+carries the parities of its shingles' hashes in cells, and |x & y| is at most (|x| + |y| - cells that differ) / 2.
 
 Defined results: a text without words, or null, has an empty set, no links and itself as its component. Fewer than K words are one
 shingle. Null doc_ids are reached but never name a component unless it has no other. Repeated rows get equal results. An empty table gives an
@@ -43,11 +43,11 @@ MAX_FREQUENT = 1 << 18
 BLOCK, LOCAL_LEAST = 1 << 21, 3
 #: Counts from which a shingle is frequent: LEAST, or this share of the texts.
 LEAST, FREQUENT_SHARE = 24, 1 / 8000
-SIG_BITS = 1024
+#: A signature has 2**MAX_SIG_BITS cells at most.
+MAX_SIG_BITS = 20
 INDEX_BLOCK = 1 << 20
 WORDS = 300_000
-#: Comparisons across components a text, over all buckets, up to which they are all made at once.
-STAR_ROUNDS, ALL_PAIRS = 3, 64
+STEP = 7
 BLOOM_BITS = 26
 BATCH = 4 << 20
 
@@ -89,18 +89,23 @@ def linked(x: int, y: int, both: int) -> bool:
 
 
 def signature(own: np.ndarray) -> bytes:
-    return np.packbits((np.bincount((own & _U(SIG_BITS - 1)).astype(np.int64), minlength=SIG_BITS) & 1).astype(bool)).tobytes()
+    """Parities of the hashes in cells, two or more cells a shingle; folding its halves together gives that of half as many cells."""
+    cells = 1 << min(MAX_SIG_BITS, max(8, (2 * len(own) - 1).bit_length()))
+    odd = np.bincount((own & _U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
 
-def may_link(n: np.ndarray, m: np.ndarray, sig: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """False only where sizes and signatures (rows of 64-bit words) show that sets don't link."""
-    most = (n + m - np.bitwise_count(sig ^ other).sum(axis=1).astype(np.int64)) // 2
-    most = np.minimum(most, np.minimum(n, m))
-    return LINK[1] * most >= LINK[0] * (n + m - most)
-
-
-def _words_of(sigs: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(sigs), np.uint64).reshape(len(sigs), SIG_BITS // 64)
+def may_link(n: int, m: int, sig: bytes, other: bytes) -> bool:
+    """False only where sizes and signatures show that two sets don't link."""
+    x, y, p, q = int.from_bytes(sig, "little"), int.from_bytes(other, "little"), len(sig) * 8, len(other) * 8
+    while p > q:
+        p //= 2
+        x = (x ^ (x >> p)) & ((1 << p) - 1)
+    while q > p:
+        q //= 2
+        y = (y ^ (y >> q)) & ((1 << q) - 1)
+    most = min(n, m, (n + m - (x ^ y).bit_count()) // 2)
+    return linked(n, m, most)
 
 
 def index_keys(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -197,17 +202,17 @@ def classes_of(docs: DataFrame, carriers: DataFrame, frequent: np.ndarray) -> Da
 
 
 def _pairs_of_sorted(key: np.ndarray, node: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows sorted by (key, n, node): each with its bucket's first, or where sizes rule that out with the row before."""
-    if len(key) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """Rows sorted by (key, n, node): each with its bucket's first and with the rows 1 and STEP before, where sizes allow it."""
+    at = np.arange(len(key))
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    start = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    before = np.maximum(np.arange(len(key)) - 1, 0)
-    fits = LINK[1] * n[start] >= LINK[0] * n
-    other = np.where(fits, start, before)
-    ok = ~new & (LINK[1] * n[other] >= LINK[0] * n) & (node[other] != node)
-    return node[other][ok], node[ok]
+    start = np.maximum.accumulate(np.where(new, at, 0))
+    a, b = [], []
+    for other in (start, np.maximum(at - 1, start), np.maximum(at - STEP, start)):
+        ok = (other < at) & (LINK[1] * n[other] >= LINK[0] * n) & (node[other] != node)
+        a.append(node[other][ok])
+        b.append(node[ok])
+    return np.concatenate(a), np.concatenate(b)
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,7 +233,7 @@ def _row_batch(kind: int, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> pa.Rec
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index rows of a block of classes: pairs found inside it (kind 0), and each key's first class (kind 1)."""
+    """Index rows of a block of classes: pairs found inside it (kind 0), each key's first class (kind 1), and keys of several classes (kind 2)."""
     held: list[tuple[np.ndarray, int, int]] = []
     size = 0
 
@@ -242,6 +247,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, node, n = key[order], node[order], n[order]
         a, b = _distinct(*_pairs_of_sorted(key, node, n))
         yield _row_batch(0, a, b, np.zeros(len(a), np.int64))
+        again = np.unique(key[1:][key[1:] == key[:-1]])
+        yield _row_batch(2, again.view(np.int64), np.zeros(len(again), np.int64), np.zeros(len(again), np.int64))
         # Where sizes part a bucket, each part's first goes on.
         new = np.ones(len(key), bool)
         if len(key) > 1:
@@ -261,32 +268,38 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of _blocks dealt by key and sorted by (kind, x, n, y): pairs pass, buckets give pairs of their blocks' firsts."""
+    """Rows of _blocks dealt by key and sorted by (kind, x, n, y): pairs and keys pass, buckets give pairs of their blocks' firsts and their key."""
     last: tuple | None = None
+
+    def out(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+
     for b in batches:
         kind, x, y, n = (b.column(i).to_numpy() for i in range(4))
-        pair = kind == 0
-        a, c = x[pair], y[pair]
-        key, node, size = x[~pair], y[~pair], n[~pair]
+        for k in (0, 2):
+            own = kind == k
+            if own.any():
+                yield out(k, x[own], y[own])
+        key, node, size = x[kind == 1], y[kind == 1], n[kind == 1]
         if last is not None and len(key):  # a bucket may reach over batches: its first and its latest row are handed on
-            key, node, size = (np.concatenate(x) for x in zip(last, (key, node, size), strict=True))
+            key, node, size = (np.concatenate(v) for v in zip(last, (key, node, size), strict=True))
         if len(key):
-            p, q = _pairs_of_sorted(key, node, size)
-            a, c = np.concatenate([a, p]), np.concatenate([c, q])
+            pairs = _distinct(*_pairs_of_sorted(key, node, size))
+            if len(pairs[0]):
+                yield out(0, *pairs)
+            again = np.unique(key[1:][key[1:] == key[:-1]])
+            if len(again):
+                yield out(2, again, np.zeros(len(again), np.int64))
             start = np.flatnonzero(key == key[-1])[0]
             keep = [start] if start == len(key) - 1 else [start, len(key) - 1]
             last = (key[keep], node[keep], size[keep])
-        a, c = _distinct(a, c)
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
 
 
-def candidate_pairs(classes: DataFrame) -> DataFrame:
-    """a, b: distinct pairs of nodes to be compared first. ``classes`` has node, n_shingles, keys."""
-    rows = classes.mapInArrow(_blocks, _ROW)
-    rows = rows.withColumn("p", F.when(F.col("kind") == 1, F.xxhash64("x")).otherwise(F.xxhash64("x", "y")))
-    found = rows.repartition("p").sortWithinPartitions("kind", "x", "n", "y").select("kind", "x", "y", "n").mapInArrow(_heads, "a long, b long")
-    return found.distinct()
+def candidates(classes: DataFrame) -> DataFrame:
+    """kind, a, b: distinct pairs of nodes to be compared first (0), and the keys under which there are several (2, in a)."""
+    rows = classes.select("node", "n_shingles", "keys").mapInArrow(_blocks, _ROW)
+    at = F.when(F.col("kind") == 0, F.xxhash64("x", "y")).otherwise(F.xxhash64("x"))
+    return rows.repartition(at).sortWithinPartitions("kind", "x", "n", "y").mapInArrow(_heads, "kind int, a long, b long").distinct()
 
 
 def _bloom(ids: DataFrame) -> np.ndarray:
@@ -310,7 +323,7 @@ def in_bloom(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
 def _nodes_of(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The classes that are in pairs."""
     found = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    return classes.join(found.hint("merge"), "node", "left_semi")
+    return classes.select("node", "row_hash").join(found.hint("merge"), "node", "left_semi")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, tables: Tables) -> DataFrame:
@@ -344,23 +357,17 @@ def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = may_link(b.column("n").to_numpy(), b.column("m").to_numpy(), _words_of(b.column("sig").to_pylist()), _words_of(b.column("other").to_pylist()))
-            out = pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep))
+            keep = pa.array([may_link(*x) for x in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)], pa.bool_())
+            out = pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(keep)
             if out.num_rows:
                 yield out
 
     return both.select("a", "b", "n", "m", "sig", "other").mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, tables: Tables) -> DataFrame:
-    """a, b of the pairs that link. Pairs of one a are dealt into groups of about SALT_ROWS."""
-    degree = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("salts", F.ceil(F.col("n") / SALT_ROWS).cast("int"))
-    salted = join_unique(pairs, degree, "a", "n", pairs.count(), ["a", "b"])
-    salted = salted.withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")).select("a", "b", "salt")
-    left = degree.join(sets.withColumnRenamed("node", "a").withColumnRenamed("own", "own_a").hint("merge"), "a")
-    left = left.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "own_a")
-    right = join_hot_nodes(salted, sets)
-    both = right.join(left.hint("merge"), ["a", "salt"]).select("a", "b", "own_a", "own_b")
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b of the pairs that link. The adaptive skew join splits the pairs of a node that has many."""
+    both = pairs.hint("merge").join(sets.toDF("a", "own_a"), "a").hint("merge").join(sets.toDF("b", "own_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -379,55 +386,37 @@ def verify(pairs: DataFrame, sets: DataFrame, tables: Tables) -> DataFrame:
                 if out.num_rows:
                     yield out
 
-    return both.mapInArrow(run, "a long, b long")
-
+    return both.select("a", "b", "own_a", "own_b").mapInArrow(run, "a long, b long")
 
-def join_hot_nodes(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Adds own_b; a node that is b of many pairs has its set repeated for groups of them."""
-    degree = pairs.groupBy("b").agg(F.count("*").alias("m")).withColumn("salts_b", F.ceil(F.col("m") / SALT_ROWS).cast("int"))
-    salted = join_unique(pairs, degree.withColumn("n", F.col("m")), "b", "n", pairs.count(), ["a", "b"])
-    salted = salted.withColumn("salt_b", F.pmod(F.xxhash64("a"), F.col("salts_b")).cast("int")).select("a", "b", "salt", "salt_b")
-    own = degree.join(sets.withColumnRenamed("node", "b").withColumnRenamed("own", "own_b").hint("merge"), "b")
-    own = own.select("b", F.explode(F.sequence(F.lit(0), F.col("salts_b") - 1)).alias("salt_b"), "own_b")
-    return salted.join(own.hint("merge"), ["b", "salt_b"]).select("a", "b", "salt", "own_b")
 
-
-def _exploded(classes: DataFrame) -> DataFrame:
-    """node, n, key: the index as rows."""
+def _exploded(classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """node, n, key: the index as rows, without most keys that only one class has (known by a filter of fixed size)."""
+    shared = classes.sparkSession.sparkContext.broadcast(_bloom(keys.select(F.col("a").alias("h"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = [np.frombuffer(k, np.int64) for k in b.column("keys").to_pylist()]
-            lens = [len(k) for k in keys]
-            node = np.repeat(b.column("node").to_numpy(), lens)
-            n = np.repeat(b.column("n_shingles").to_numpy(), lens)
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))], names=["node", "n", "key"])
+            own = [np.frombuffer(k, np.int64) for k in b.column("keys").to_pylist()]
+            lens = [len(k) for k in own]
+            key = np.concatenate(own) if own else np.zeros(0, np.int64)
+            keep = in_bloom(shared.value, key)
+            node, n = (np.repeat(b.column(c).to_numpy(), lens)[keep] for c in ("node", "n_shingles"))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(key[keep])], names=["node", "n", "key"])
 
     return classes.select("node", "n_shingles", "keys").mapInArrow(run, "node long, n long, key long")
 
 
 def _open_buckets(index: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
-    """Rows of the index (node, n, key) whose bucket holds several components, with their component."""
+    """Rows of the index (node, n, key) whose bucket holds several components, with their component and the bucket's rows."""
     named = index.join(labels.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = tables.cut(named.select("node", "n", "key", "component"))
     several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo <> hi")
-    out = join_unique(named, several, "key", "rows", named.count(), ["node", "key"]).where("rows IS NOT NULL")
-    return tables.cut(out.select("node", "n", "key", "component", "rows"))
+    return tables.cut(named.hint("merge").join(several.select("key", "rows"), "key"))
 
 
 def _fit(a: str, b: str):
     return (LINK[1] * F.col(a) >= LINK[0] * F.col(b)) & (LINK[1] * F.col(b) >= LINK[0] * F.col(a))
 
 
-def _star_pairs(rows: DataFrame, nth: int) -> DataFrame:
-    """Each bucket's rows with one of them, another one each time, where components differ and sizes fit."""
-    lead = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(nth)).alias("o"), "node", "n", "component")).alias("l"), F.count("*").alias("times"))
-    lead = lead.select("key", "times", F.col("l.node").alias("a"), F.col("l.n").alias("an"), F.col("l.component").alias("ac"))
-    both = join_unique(rows, lead, "key", "times", rows.count(), ["node", "key"])
-    both = both.where((F.col("component") != F.col("ac")) & _fit("n", "an"))
-    return both.select("a", F.col("node").alias("b")).distinct()
-
-
 def _all_pairs(rows: DataFrame) -> DataFrame:
     """All pairs of a bucket across components where sizes fit; a large bucket is dealt out in blocks."""
     blocks = F.ceil(F.col("rows") / SALT_ROWS).cast("int")
@@ -447,25 +436,17 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     groups = rows.where("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("row_hash").alias("row_hash"), F.count("*").alias("n"))
     groups = tables.cut(groups)
     classes = tables.cut(classes_of(df, groups.select("row_hash"), frequent_shingles(first, total)))
-    pairs = tables.cut(candidate_pairs(classes))
-    near = tables.cut(_nodes_of(pairs, classes))
-    likely = tables.cut(possible(pairs, near))
-    links = tables.cut(verify(likely, sets_of(df, _nodes_of(likely, near), tables), tables))
+    found = tables.cut(candidates(classes))
+    likely = tables.cut(possible(found.where("kind = 0").select("a", "b"), classes))
+    sets = sets_of(df, _nodes_of(likely, classes), tables)
+    links = tables.cut(verify(likely, sets))
+    tables.drop(sets)
+    labels = tables.cut(components(links, tables))
+    rest = _open_buckets(_exploded(classes, found.where("kind = 2")), labels, tables)
+    more = tables.cut(possible(_all_pairs(rest), classes))
+    tables.drop(rest)
+    links = tables.cut(links.unionByName(verify(more, sets_of(df, _nodes_of(more, classes), tables))))
     labels = tables.cut(components(links, tables))
-    index = _exploded(near)
-    for nth in range(STAR_ROUNDS + 1):
-        rest = _open_buckets(index, labels, tables)
-        index = rest.select("node", "n", "key")
-        by_part = rest.groupBy("key", "component").agg(F.count("*").alias("m"))
-        across = by_part.groupBy("key").agg((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))).alias("p")).agg(F.sum("p"), F.count("*")).first()
-        if not across[1]:
-            break
-        last = nth == STAR_ROUNDS or across[0] <= ALL_PAIRS * total
-        more = tables.cut(possible(_all_pairs(rest) if last else _star_pairs(rest, nth), near))
-        links = tables.cut(links.unionByName(verify(more, sets_of(df, _nodes_of(more, near), tables), tables)))
-        labels = tables.cut(components(links, tables))
-        if last:
-            break
     named = classes.select("fp", "node").join(labels.hint("merge"), "node", "left").groupBy("fp").agg(F.min(F.coalesce("component", "node")).alias("component"))
     named = tables.cut(groups.select("fp", "least", "n").join(named.hint("merge"), "fp"))
     by_component = named.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("classes"))
