@@ -14,8 +14,10 @@ So each class is indexed by the rare shingles of its prefix and by the combinati
 extended prefix. Groups are wanted, so not every pair of a bucket is compared. First each member is compared with its bucket's first
 one and with two that come shortly before it by size, inside blocks of the index and then between blocks, which leaves no bucket
 in one task. What this links is contracted. Buckets that still hold several components are then compared completely, pair by pair across
-components, in blocks and with no cap. A pair is verified on the whole sets, after an exact bound has ruled out most: each class
-carries the parities of its shingles' hashes in cells, and |x & y| is at most (|x| + |y| - cells that differ) / 2.
+components, in blocks and with no cap. Each class carries the parities of its shingles' hashes in cells, and |x & y| is at most
+(|x| + |y| - cells that differ) / 2. Blocks hold a short form of these parities and give only the pairs that this exact bound
+leaves over, and not where both classes' least open keys show that the pair meets under a lesser key as well. What is left is verified on
+the whole sets.
 
 Defined results: a text without words, or null, has an empty set, no links and itself as its component. Fewer than K words are one
 shingle. Null doc_ids are reached but never name a component unless it has no other. Repeated rows get equal results. An empty table gives an
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import SALT_ROWS, Tables, bounded, join_unique, only
+from bucketloom.llm.common import Tables, bounded, join_unique, only
 from bucketloom.llm.components import components
 
 K = 5
@@ -43,8 +45,12 @@ MAX_FREQUENT = 1 << 18
 BLOCK, LOCAL_LEAST = 1 << 21, 3
 #: Counts from which a shingle is frequent: LEAST, or this share of the texts.
 LEAST, FREQUENT_SHARE = 24, 1 / 8000
-#: A signature has 2**MAX_SIG_BITS cells at most.
-MAX_SIG_BITS = 20
+#: A signature has 2**MIN_SIG_BITS cells at least and 2**MAX_SIG_BITS at most; sets of up to SHORT_MOST shingles carry one of the least size too.
+MIN_SIG_BITS, MAX_SIG_BITS = 9, 20
+SHORT_MOST = 1024
+#: Open buckets are compared in blocks of about so many classes, by so many pairs at a time; LOW_KEYS least keys of a class go along.
+OPEN_BLOCK, OPEN_PAIRS = 1024, 1 << 18
+LOW_KEYS = 4
 INDEX_BLOCK = 1 << 20
 WORDS = 300_000
 STEP = 7
@@ -90,11 +96,21 @@ def linked(x: int, y: int, both: int) -> bool:
 
 def signature(own: np.ndarray) -> bytes:
     """Parities of the hashes in cells, two or more cells a shingle; folding its halves together gives that of half as many cells."""
-    cells = 1 << min(MAX_SIG_BITS, max(8, (2 * len(own) - 1).bit_length()))
+    cells = 1 << min(MAX_SIG_BITS, max(MIN_SIG_BITS, (2 * len(own) - 1).bit_length()))
     odd = np.bincount((own & _U(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
 
+def short_form(sig: bytes, n: int) -> bytes:
+    """The signature folded to its least size; nothing for sets so large that it would show nothing."""
+    if n > SHORT_MOST:
+        return b""
+    x = np.frombuffer(sig, np.uint64)
+    while len(x) * 64 > 1 << MIN_SIG_BITS:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.tobytes()
+
+
 def may_link(n: int, m: int, sig: bytes, other: bytes) -> bool:
     """False only where sizes and signatures show that two sets don't link."""
     x, y, p, q = int.from_bytes(sig, "little"), int.from_bytes(other, "little"), len(sig) * 8, len(other) * 8
@@ -166,7 +182,7 @@ def frequent_shingles(counted: DataFrame, total: int) -> np.ndarray:
 
 
 def classes_of(docs: DataFrame, carriers: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """node, row_hash, n_shingles, fp, keys, sig of one text of each set.
+    """node, row_hash, n_shingles, fp, keys, sig, short of one text of each set.
 
     The texts to take, ``carriers``, are known by a filter of fixed size; one taken beside them makes a second
     node of its set, which the join links to the first.
@@ -180,7 +196,7 @@ def classes_of(docs: DataFrame, carriers: DataFrame, frequent: np.ndarray) -> Da
             for b in bounded(big, BATCH):
                 h = b.column("row_hash").to_numpy(zero_copy_only=False)
                 at = np.flatnonzero(in_bloom(bloom, h))
-                hashes, n, fps, keys, sigs = [], [], [], [], []
+                hashes, n, fps, keys, sigs, shorts = [], [], [], [], [], []
                 for i, x in zip(at, b.column("text").cast(pa.binary()).take(pa.array(at)).to_pylist(), strict=True):
                     own = shingles(x or b"")
                     fp = xxhash.xxh3_128_digest(own.tobytes())
@@ -194,10 +210,11 @@ def classes_of(docs: DataFrame, carriers: DataFrame, frequent: np.ndarray) -> Da
                     fps.append(fp)
                     keys.append(index_keys(own, frequent).tobytes())
                     sigs.append(signature(own))
+                    shorts.append(short_form(sigs[-1], len(own)))
                 if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(n, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["row_hash", "n_shingles", "fp", "keys", "sig"])
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(n, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(shorts, pa.binary())], names=["row_hash", "n_shingles", "fp", "keys", "sig", "short"])
 
-    made = docs.select("text", "row_hash").mapInArrow(run, "row_hash long, n_shingles long, fp binary, keys binary, sig binary")
+    made = docs.select("text", "row_hash").mapInArrow(run, "row_hash long, n_shingles long, fp binary, keys binary, sig binary, short binary")
     return made.withColumn("node", F.monotonically_increasing_id())
 
 
@@ -413,17 +430,105 @@ def _open_buckets(index: DataFrame, labels: DataFrame, tables: Tables) -> DataFr
     return tables.cut(named.hint("merge").join(several.select("key", "rows"), "key"))
 
 
-def _fit(a: str, b: str):
-    return (LINK[1] * F.col(a) >= LINK[0] * F.col(b)) & (LINK[1] * F.col(b) >= LINK[0] * F.col(a))
+class _Open:
+    """Rows of open buckets' cells, sorted by (key, lo, hi, n): columns as arrays, all of one length."""
+
+    def __init__(self, b: pa.RecordBatch | None = None):
+        if b is not None:
+            self.cols = {c: b.column(c).to_numpy() for c in ("key", "lo", "hi", "own", "n", "node", "component")}
+            self.cols["low"] = np.stack([b.column(f"low{i}").to_numpy() for i in range(LOW_KEYS)], 1)
+            short = b.column("short").to_pylist()
+            self.cols["has"] = np.array([len(x) > 0 for x in short], bool)
+            none = bytes(1 << (MIN_SIG_BITS - 3))
+            self.cols["short"] = np.frombuffer(b"".join(x or none for x in short), np.uint64).reshape(len(short), -1)
+
+    def __getattr__(self, name: str) -> np.ndarray:
+        return self.__dict__["cols"][name]
+
+    def __len__(self) -> int:
+        return len(self.cols["key"])
+
+    def part(self, of: slice) -> _Open:
+        out = _Open()
+        out.cols = {k: v[of] for k, v in self.cols.items()}
+        return out
+
+    def then(self, other: _Open) -> _Open:
+        out = _Open()
+        out.cols = {k: np.concatenate([v, other.cols[k]]) for k, v in self.cols.items()}
+        return out
+
+    def starts(self) -> np.ndarray:
+        """Where cells begin."""
+        new = np.ones(len(self), bool)
+        new[1:] = (self.key[1:] != self.key[:-1]) | (self.lo[1:] != self.lo[:-1]) | (self.hi[1:] != self.hi[:-1])
+        return new
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs across components, inside whole cells, that sizes and short signatures don't rule out."""
+        n, at = self.n, np.arange(len(self))
+        cell = np.cumsum(self.starts()) - 1
+        # Within a cell n rises, so the partners that a row's size allows are a range after it.
+        top = int(n.max()) + 1
+        order = cell * np.int64(top) + n
+        end = np.searchsorted(order, cell * np.int64(top) + np.minimum(LINK[1] * n // LINK[0], top - 1), side="right")
+        count = end - at - 1
+        upto = np.cumsum(count)
+        first = 0
+        while first < len(at):
+            done = upto[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(upto, done + OPEN_PAIRS, side="right")))
+            c = count[first:last]
+            i = np.repeat(at[first:last], c)
+            j = i + 1 + np.arange(len(i)) - np.repeat(upto[first:last] - c - done, c)
+            first = last
+            ok = (self.component[i] != self.component[j]) & ((self.lo[i] == self.hi[i]) | (self.own[i] != self.own[j]))
+            i, j = i[ok], j[ok]
+            differ = np.bitwise_count(self.short[i] ^ self.short[j]).sum(1, dtype=np.int64)
+            both = n[i] + n[j]
+            most = np.minimum(n[i], (both - differ) // 2)
+            ok = ~(self.has[i] & self.has[j]) | (LINK[1] * most >= LINK[0] * (both - most))
+            i, j = i[ok], j[ok]
+            lesser = (self.low[i][:, :, None] == self.low[j][:, None, :]) & (self.low[i] < self.key[i][:, None])[:, :, None]
+            ok = ~lesser.any((1, 2))
+            x, y = self.node[i[ok]], self.node[j[ok]]
+            yield _distinct(np.minimum(x, y), np.maximum(x, y))
+
+
+def _compare_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: _Open | None = None
+
+    def out(rows: _Open) -> Iterator[pa.RecordBatch]:
+        if len(rows):
+            for a, b in rows.pairs():
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    for b in batches:
+        if b.num_rows:
+            rows = _Open(b) if held is None else held.then(_Open(b))
+            last = int(np.flatnonzero(rows.starts())[-1])
+            yield from out(rows.part(slice(0, last)))
+            held = rows.part(slice(last, None))
+    if held is not None:
+        yield from out(held)
+
 
+def _open_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b: distinct pairs of open buckets across components that may link.
 
-def _all_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of a bucket across components where sizes fit; a large bucket is dealt out in blocks."""
-    blocks = F.ceil(F.col("rows") / SALT_ROWS).cast("int")
-    left = rows.select("key", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.col("node").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
-    right = rows.select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("node").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
-    both = left.hint("merge").join(right, ["key", "block"]).where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _fit("an", "bn"))
-    return both.select("a", "b").distinct()
+    A bucket of more than OPEN_BLOCK classes is dealt out in blocks; each two of them, and each with itself, meet in a cell of
+    bounded size. A pair is left to a lesser key only where both classes' LOW_KEYS least keys have it, so none is lost.
+    """
+    low = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LOW_KEYS).alias("low"))
+    none = F.lit(2**63 - 1)
+    low = low.select("node", *[F.coalesce(F.get("low", F.lit(i)), none).alias(f"low{i}") for i in range(LOW_KEYS)])
+    carried = classes.select("node", "short").hint("merge").join(low, "node")
+    blocks = F.ceil(F.col("rows") / OPEN_BLOCK).cast("int")
+    wide = rows.hint("merge").join(carried, "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    wide = wide.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "n", "node", "component", "short", *[f"low{i}" for i in range(LOW_KEYS)])
+    return wide.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "n", "node").mapInArrow(_compare_open, "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -443,7 +548,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     tables.drop(sets)
     labels = tables.cut(components(links, tables))
     rest = _open_buckets(_exploded(classes, found.where("kind = 2")), labels, tables)
-    more = tables.cut(possible(_all_pairs(rest), classes))
+    more = tables.cut(possible(tables.cut(_open_pairs(rest, classes)), classes))
     tables.drop(rest)
     links = tables.cut(links.unionByName(verify(more, sets_of(df, _nodes_of(more, classes), tables))))
     labels = tables.cut(components(links, tables))
