@@ -219,6 +219,7 @@ def test_near_duplicates(docs, none):
 def test_near_duplicates_of_varied_edits_with_frequent_shingles(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "LEAST", 4)
     monkeypatch.setattr(near_dedup, "LOCAL_LEAST", 2)
+    monkeypatch.setattr(near_dedup, "OPEN_BLOCK", 3)
     rng = np.random.default_rng(7)
     texts = []
     for g in range(12):
