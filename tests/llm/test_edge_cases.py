@@ -292,6 +292,18 @@ def test_pages(spark):
     assert html_text.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_boilerplate_inside_marked_articles_goes_and_copied_articles_stay(spark):
+    own = lambda i, n=40: " ".join(f"w{i}x{k}" for k in range(n))
+    notice = "<p>please read these terms of use with care before you go on to read more</p>"
+    page = lambda i, body: (i, "http://marked.org/", f"<body><article>{body}</article></body>", None, None)
+    near = [own(99).replace("w99x7 ", f"edit{i} ") for i in range(4)]
+    data = [page(i, f"<p>{own(i)}</p>{notice}") for i in range(5)]
+    data += [page(10 + i, f"<p>{own(50)}</p>") for i in range(4)] + [page(20 + i, f"<p>{x}</p>{notice}") for i, x in enumerate(near)]
+    data += [(30 + i, "http://plain.net/", f"<p>{own(60)}</p>", None, None) for i in range(4)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(data, PAGES)).collect()}
+    assert got == {**{i: own(i) for i in range(5)}, **{10 + i: own(50) for i in range(4)}, **{20 + i: x for i, x in enumerate(near)}, **{30 + i: own(60) for i in range(4)}}
+
+
 def test_repeated_runs_by_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(20):
