@@ -1,12 +1,12 @@
 """Operator 1: quality rules with n-gram perplexity by language.
 
 The base rules look at words, symbols, repeated lines and repeated word windows of a text. The verdict on texts
-that pass them comes from a character trigram model with modified Kneser-Ney smoothing, one for each of the
-MAX_LANGUAGES most frequent languages and one for all other rows. Spark counts the characters of each language in all
-texts; a language's alphabet is its SYMBOLS most frequent ones (the others share a symbol), so a model has SYMBOLS**3
-trigrams at most whatever the input, and is broadcast. Spark then counts the trigrams of all texts. Probabilities and back-off
-weights stand in arrays sorted by the n-grams' 64-bit hashes and are found by binary search; a worker looks up
-each of the possible trigrams once and scores texts from that table.
+that pass them comes from a character trigram model with modified Kneser-Ney smoothing, one for each language and one for rows
+without. Spark counts the trigrams of all texts over the full alphabet (21 bits a character; white space and digits are one kind each),
+and computes probabilities and back-off weights in joins and groupings, so a model grows with what the input holds and no process holds one whole.
+
+Texts are dealt into blocks of about BLOCK characters. A block's distinct n-grams are joined with the models by hash, and what is found comes back to the block,
+as sorted arrays that are searched by halves: a worker holds the part of the models that its block needs.
 
 A text may hold passages in other languages. Where a stretch of STRETCH characters is worse by POOR than
 its language's model is on average, and another language's model fits it better, it counts by that one.
@@ -15,27 +15,34 @@ A language's band is the median of its texts' log perplexity per character plus
 deviations (SLACK at least). Texts outside are rejected. Each distinct text counts once in a band, so that copies of one text
 can't move it; bands are read off a histogram of bounded size.
 
-Defined results: null text has no words and fails the base rules, as does every text under MIN_WORDS words. A null language,
-or one beyond MAX_LANGUAGES, is scored by the model of all such rows. Repeated rows give repeated results; an empty
+Defined results: null text has no words and fails the base rules, as does every text under MIN_WORDS words. A null language
+is scored by the model of all such rows. Repeated rows give repeated results; an empty
 table gives an empty result. Other columns, of any name, are ignored (``keep_good`` hands them through).
 """
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bucketloom.llm.common import Tables, bounded, map_batches, only
+from bucketloom.llm.common import Tables, bounded, only
 
 MIN_WORDS, MOST_REPEATED = 50, 50
-MAX_LANGUAGES = 16
+#: Bits of a character in an n-gram's code.
+BITS = 21
+MASK = (1 << BITS) - 1
+EDGE, SPACE, DIGIT = 0, 32, 48
+#: Characters of a block, and the fewest blocks.
+BLOCK, LEAST_BLOCKS = 16 << 20, 12
+#: Distinct n-grams that a task holds before it hands them on.
+HELD = 1 << 20
+#: The alphabet of the models in memory (``kneser_ney``), by which tests check the arithmetic.
 SYMBOLS = 64
-EDGE, SPACE, DIGIT, OTHER = range(4)
 WIDTH, SLACK = 4.5, 0.1
 STRETCH, POOR = 64, 0.15
 #: Width of a histogram's cells, in log perplexity.
@@ -108,25 +115,17 @@ def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(low).encode("utf-32-le"), np.uint32), lens
 
 
-def alphabet_table(chars: list[int]) -> np.ndarray:
-    """The symbol of each code point."""
-    t = np.full(0x110000, OTHER, np.uint8)
-    for i, c in enumerate(chars):
-        t[c] = OTHER + 1 + i
-    t[[9, 10, 11, 12, 13, 32]] = SPACE
-    t[48:58] = DIGIT
-    t[0] = EDGE
-    return t
-
-
-def _codes(symbols: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram numbers inside texts, and how many each has. An edge before the first leaves it a bigram's context."""
-    s = symbols.astype(np.int64)
-    if len(s) < 3:
+def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams inside texts, and how many each has. An edge before the first leaves it a bigram's context."""
+    c, lens = code_points(texts)
+    if len(c) < 3:
         return np.zeros(0, np.int64), np.zeros(len(lens), np.int64)
+    s = c.astype(np.int64)
+    s[(s >= 9) & (s <= 13)] = SPACE
+    s[(s >= 48) & (s < 58)] = DIGIT
     doc = np.repeat(np.arange(len(lens)), lens)
     own = doc[:-2] == doc[2:]
-    code = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
+    code = (s[:-2] << (2 * BITS)) | (s[1:-1] << BITS) | s[2:]
     return code[own], np.maximum(lens - 2, 0)
 
 
@@ -217,38 +216,69 @@ def kneser_ney(counts: np.ndarray, chars: list[int]) -> HashedModel:
 
 @dataclass(frozen=True)
 class Models:
-    """By language; REST for all others."""
+    """All languages' n-grams as a table: name, size (1 to 3), code, log_p, log_back. By name: log probability of a symbol that the
+    language's texts don't hold, and mean negative log probability of a character of the counted texts."""
+
+    table: DataFrame
+    unseen: dict[str, float]
+    entropy: dict[str, float]
+
+
+class Slice:
+    """What a block needs of a language's model, in sorted arrays."""
+
+    def __init__(self, size: np.ndarray, code: np.ndarray, log_p: np.ndarray, log_back: np.ndarray, unseen: float):
+        self.unseen = unseen
+        self.by_size = {}
+        for n in (1, 2, 3):
+            at = np.flatnonzero(size == n)
+            at = at[np.argsort(code[at], kind="stable")]
+            self.by_size[n] = code[at], log_p[at], log_back[at]
 
-    token: str
-    by_lang: dict[str, HashedModel]
+    def find(self, n: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys = self.by_size[n][0]
+        if not len(keys):
+            return np.zeros(len(code), bool), np.zeros(len(code), np.int64)
+        at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+        return keys[at] == code, at
+
+    def log_prob(self, code: np.ndarray) -> np.ndarray:
+        """log p of trigrams, backing off to bigrams, single symbols and the unseen one."""
+        out, back = np.zeros(len(code)), np.zeros(len(code))
+        todo = np.arange(len(code))
+        for n in (3, 2, 1):
+            own = code[todo] & ((1 << n * BITS) - 1)
+            has, at = self.find(n, own)
+            p = self.by_size[n][1][at[has]] if has.any() else np.zeros(0)
+            real = ~np.isnan(p)  # a bigram may only ever be a context
+            has[np.flatnonzero(has)[~real]] = False
+            out[todo[has]] = back[todo[has]] + p[real]
+            todo, own = todo[~has], own[~has]
+            if n > 1 and len(todo):
+                known, at = self.find(n - 1, own >> BITS)
+                back[todo[known]] += self.by_size[n - 1][2][at[known]]
+        out[todo] = back[todo] + self.unseen
+        return out
 
 
 class _Scorer:
-    """A worker's tables of symbols and of trigrams' log probabilities."""
+    """A block's texts by the slices of the models."""
 
-    def __init__(self, models: Models):
-        self.models = models
-        self.tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    def __init__(self, by_lang: dict[str, Slice], entropy: dict[str, float]):
+        self.by_lang, self.entropy = by_lang, entropy
 
     def name(self, lang: str | None) -> str:
-        return lang if lang in self.models.by_lang and lang is not None else REST
-
-    def table(self, name: str) -> tuple[np.ndarray, np.ndarray]:
-        if name not in self.tables:
-            m = self.models.by_lang[name]
-            self.tables[name] = alphabet_table(list(m.chars)), m.log_prob(np.arange(SYMBOLS**3)).astype(np.float32)
-        return self.tables[name]
+        return lang if lang is not None and lang in self.entropy else REST
 
     def _stretches(self, name: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Negative log probability of each stretch of all texts, its characters, and the stretches of each text."""
-        symbol, log_p = self.table(name)
-        c, lens = code_points(texts)
-        code, n = _codes(symbol[c], lens)
+        code, n = _codes(texts)
         parts = -(-n // STRETCH)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         begin = np.repeat(np.cumsum(n) - n, parts) + nth * STRETCH
         size = np.diff(np.append(begin, len(code)))
-        return -np.add.reduceat(log_p[code], begin, dtype=np.float64), size, parts
+        distinct, of = np.unique(code, return_inverse=True)
+        return -np.add.reduceat(self.by_lang[name].log_prob(distinct)[of], begin, dtype=np.float64), size, parts
 
     def log_perplexity(self, texts: list[str | None], langs: list[str | None]) -> np.ndarray:
         """Mean negative log probability of a character of each text; NaN for empty ones."""
@@ -258,87 +288,129 @@ class _Scorer:
             if texts[i]:
                 by.setdefault(self.name(x), []).append(i)
         for name, rows in by.items():
-            if name not in self.models.by_lang:
+            if name not in self.by_lang:
                 continue
             nats, size, parts = self._stretches(name, [texts[i] for i in rows])
             doc = np.repeat(np.arange(len(rows)), parts)
-            poor = np.unique(doc[nats > size * (self.models.by_lang[name].entropy + POOR)])
-            if len(poor) and len(self.models.by_lang) > 1:
+            poor = np.unique(doc[nats > size * (self.entropy[name] + POOR)])
+            others = [x for x in self.by_lang if x not in (name, REST)]
+            if len(poor) and others:
                 at = np.isin(doc, poor)
                 some = [texts[rows[d]] for d in poor]
-                least = np.min([self._stretches(x, some)[0] for x in self.models.by_lang if x not in (name, REST)] or [nats[at]], axis=0)
-                usual = size[at] * (self.models.by_lang[name].entropy + POOR)
+                least = np.full(at.sum(), np.inf)
+                for x in others:
+                    least = np.minimum(least, self._stretches(x, some)[0])
+                usual = size[at] * (self.entropy[name] + POOR)
                 nats[at] = np.where(nats[at] > usual, np.minimum(nats[at], least), nats[at])
             out[rows] = np.bincount(doc, nats, len(rows)) / np.bincount(doc, size, len(rows))
         return out
 
 
-_scorers: dict[str, _Scorer] = {}
+class _Counts:
+    """Distinct codes and how often each occurs, by key; handed on when there are many."""
+
+    def __init__(self):
+        self.held: dict = {}
+        self.n = 0
+
+    def add(self, key, code: np.ndarray) -> None:
+        self.held.setdefault(key, []).append(np.unique(code, return_counts=True))
+        self.n += len(self.held[key][-1][0])
+        if self.n > HELD:
+            self._merge()
+
+    def _merge(self) -> None:
+        for key, parts in self.held.items():
+            if len(parts) > 1:
+                codes, of = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+                self.held[key] = [(codes, np.bincount(of, np.concatenate([n for _, n in parts])).astype(np.int64))]
+        self.n = sum(len(parts[0][0]) for parts in self.held.values())
+
+    @property
+    def many(self) -> bool:
+        return self.n > HELD // 2
+
+    def take(self):
+        self._merge()
+        for key, parts in self.held.items():
+            for i in range(0, len(parts[0][0]), 1 << 16):
+                yield key, parts[0][0][i : i + (1 << 16)], parts[0][1][i : i + (1 << 16)]
+        self.__init__()
+
+
+def _discounted(t: DataFrame) -> DataFrame:
+    """``t`` (name, code, n) with each n-gram's discount d, from how many n-grams occur 1 to 4 times."""
+    k = t.groupBy("name").agg(*[F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in range(1, 5)])
+    y = F.expr("n1 / (n1 + 2 * n2)")
+    whole = F.expr("n1 > 0 AND n2 > 0 AND n3 > 0 AND n4 > 0")
+
+    def cut(x: Column, otherwise: float, low: float, high: float) -> Column:
+        return F.when(whole, F.greatest(F.lit(low), F.least(F.lit(high), x))).otherwise(otherwise)
+
+    k = k.withColumn("y", F.when(whole, y)).select(
+        F.col("name"),
+        cut(F.expr("1 - 2 * y * n2 / n1"), 0.5, 0.05, 0.95).alias("d1"),
+        cut(F.expr("2 - 3 * y * n3 / n2"), 1.0, 0.1, 1.95).alias("d2"),
+        cut(F.expr("3 - 4 * y * n4 / n3"), 1.5, 0.1, 2.95).alias("d3"),
+    )
+    return t.join(F.broadcast(k), "name").select("name", "code", "n", F.expr("CASE n WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END").alias("d"))
 
 
-def _scorer(models: Models) -> _Scorer:
-    if models.token not in _scorers:
-        _scorers.clear()
-        _scorers[models.token] = _Scorer(models)
-    return _scorers[models.token]
+def _level(t: DataFrame, size: int, lower: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """name, code, n, p of the n-grams of a size from their counts and the lower order's p; name, code, back of their contexts."""
+    x = _discounted(t).withColumn("context", F.shiftright("code", BITS)).withColumn("tail", F.col("code").bitwiseAND((1 << (size - 1) * BITS) - 1))
+    contexts = x.groupBy("name", "context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("back"))
+    x = x.join(contexts, ["name", "context"]).join(lower.select("name", F.col("code").alias("tail"), F.col("p").alias("low")), ["name", "tail"])
+    return x.select("name", "code", "n", ((F.col("n") - F.col("d")) / F.col("total") + F.col("back") * F.col("low")).alias("p")), contexts.select("name", F.col("context").alias("code"), "back")
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Models:
-    """Counts characters, then trigrams, of all texts, and makes each language's model."""
+    """Counts the trigrams of all texts, and makes each language's model."""
+    tables = Tables(docs.sparkSession)
     df = only(docs, text=text, lang=lang).where("text IS NOT NULL AND text <> ''")
-    top = df.where("lang IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    names = sorted(r["lang"] for r in top if r["lang"] != REST) + [REST]
-    number = {x: i for i, x in enumerate(names)}
-    rest = number[REST]
-
-    def by_language(b: pa.RecordBatch):
-        groups: dict[int, list[str]] = {}
-        for t, x in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
-            groups.setdefault(number.get(x, rest), []).append(t)
-        return groups.items()
-
-    def count_chars(batches):
-        total: dict[int, np.ndarray] = {}
-        for big in batches:
-            for b in bounded(big, BATCH):
-                for k, texts in by_language(b):
-                    c = np.bincount(code_points(texts)[0])
-                    own = total.setdefault(k, np.zeros(0x110000, np.int64))
-                    own[: len(c)] += c
-        for k, own in total.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(own[at])], names=["k", "c", "n"])
-
-    chars: dict[int, list[int]] = {k: [] for k in range(len(names))}
-    white = [0, 9, 10, 11, 12, 13, 32, *range(48, 58)]
-    seen = df.mapInArrow(count_chars, "k int, c int, n long").where(~F.col("c").isin(white)).groupBy("k", "c").agg(F.sum("n").alias("n"))
-    # Code points are bounded (1,114,112 at most a language), so the ranking of a language's is too.
-    ranked = seen.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("n"), "c"))).where(F.col("r") <= SYMBOLS - 1 - OTHER)
-    for r in ranked.select("k", "c", "r").orderBy("k", "r").collect():
-        chars[r["k"]].append(r["c"])
-    tables = docs.sparkSession.sparkContext.broadcast(chars)
-    size = SYMBOLS**3
-
-    def count_trigrams(batches):
-        symbol = {k: alphabet_table(c) for k, c in tables.value.items()}
-        total: dict[int, np.ndarray] = {}
+
+    def count(batches):
+        held = _Counts()
+
+        def out():
+            for name, code, n in held.take():
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(code), pa.string()), pa.array(code), pa.array(n)], names=["name", "code", "n"])
+
         for big in batches:
             for b in bounded(big, BATCH):
-                for k, texts in by_language(b):
-                    c, lens = code_points(texts)
-                    code, _ = _codes(symbol[k][c], lens)
-                    own = total.setdefault(k, np.zeros(size, np.int64))
-                    own += np.bincount(code, minlength=size)
-        for k, own in total.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array((at + k * size).astype(np.int32)), pa.array(own[at])], names=["k", "n"])
-
-    counted = df.mapInArrow(count_trigrams, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(len(names) * size, np.int64)
-    counts[counted.column("k").to_numpy()] = counted.column("n").to_numpy()
-    by_lang = {x: kneser_ney(own, chars[number[x]]) for x in names if (own := counts[number[x] * size : (number[x] + 1) * size]).any()}
-    digest = hashlib.sha256(b"".join(m.keys.tobytes() + m.log_p.tobytes() for m in by_lang.values()))
-    return Models(digest.hexdigest(), by_lang)
+                groups: dict[str, list[str]] = {}
+                for t, x in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
+                    groups.setdefault(REST if x is None else x, []).append(t)
+                for name, texts in groups.items():
+                    held.add(name, _codes(texts)[0])
+                if held.many:
+                    yield from out()
+        yield from out()
+
+    t3 = tables.cut(df.mapInArrow(count, "name string, code long, n long").groupBy("name", "code").agg(F.sum("n").alias("n")))
+    # Lower orders count in how many contexts an n-gram occurs.
+    t2 = t3.groupBy("name", F.col("code").bitwiseAND((1 << 2 * BITS) - 1).alias("code")).agg(F.count("*").alias("n"))
+    t1 = t2.groupBy("name", F.col("code").bitwiseAND(MASK).alias("code")).agg(F.count("*").alias("n"))
+    single = _discounted(t1)
+    whole = single.groupBy("name").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n") / (F.count("*") + 1)).alias("unseen"))
+    p1 = single.join(F.broadcast(whole), "name").select("name", "code", "n", ((F.col("n") - F.col("d")) / F.col("total") + F.col("unseen")).alias("p"), "unseen")
+    p1 = tables.cut(p1)
+    p2, back1 = _level(t2, 2, p1)
+    p2 = tables.cut(p2)
+    p3, back2 = _level(t3, 3, p2)
+    p3 = tables.cut(p3)
+    nothing = F.lit(None).cast("double")
+    rows = [x.select("name", F.lit(i).alias("size"), "code", "p", nothing.alias("back")) for i, x in ((1, p1), (2, p2), (3, p3))]
+    rows += [x.select("name", F.lit(i).alias("size"), "code", nothing.alias("p"), "back") for i, x in ((1, back1), (2, back2))]
+    every = rows[0]
+    for x in rows[1:]:
+        every = every.unionByName(x)
+    log = lambda c: F.log(F.max(c)).cast("float")
+    table = tables.cut(every.groupBy("size", "code", "name").agg(log("p").alias("log_p"), log("back").alias("log_back")))
+    # One row a language.
+    unseen = {r["name"]: float(np.log(r["x"])) for r in p1.groupBy("name").agg(F.max("unseen").alias("x")).collect()}
+    entropy = {r["name"]: r["x"] for r in p3.groupBy("name").agg((-F.sum(F.col("n") * F.log("p")) / F.sum("n")).alias("x")).collect()}
+    return Models(table, unseen, entropy)
 
 
 # Scores, bands and verdicts
@@ -348,28 +420,68 @@ _FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 def score(docs: DataFrame, models: Models, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """doc_id, the base rules' counts, the model used and the log perplexity of a character, of every row."""
-    df = only(docs, doc_id=doc_id, text=text, lang=lang).withColumn("text_hash", F.xxhash64("text"))
-    kind = df.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    return _scored(only(docs, doc_id=doc_id, text=text, lang=lang), models).drop("text", "lang")
+
 
-    def make():
-        s = _scorer(shared.value)
+def _scored(df: DataFrame, models: Models) -> DataFrame:
+    """All rows of ``df`` with what ``_FIELDS`` names. ``df`` has text and lang, and none of those names."""
+    columns = df.schema
+    spark = df.sparkSession
+    chars = df.agg(F.sum(F.length("text").cast("long")).alias("n")).first()["n"] or 0
+    blocks = max(LEAST_BLOCKS, -(-chars // BLOCK))
+    # One exchange serves both readers.
+    dealt = df.withColumn("text_hash", F.xxhash64("text")).withColumn("block", F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in df.columns]), F.lit(blocks)).cast("int")).repartition("block")
+    shared = spark.sparkContext.broadcast((models.unseen, models.entropy))
 
-        def f(big: pa.RecordBatch) -> pa.RecordBatch:
-            parts = []
+    def wanted(batches):
+        held = _Counts()
+
+        def out():
+            for (size, block), code, _ in held.take():
+                n = len(code)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int32)), pa.array(np.full(n, size, np.int32)), pa.array(code)], names=["block", "size", "code"])
+
+        for big in batches:
+            for b in bounded(big, BATCH):
+                block = b.column("block").to_numpy()
+                texts = b.column("text")
+                for k in np.unique(block).tolist():
+                    code = np.unique(_codes(texts.take(pa.array(np.flatnonzero(block == k))).to_pylist())[0])
+                    held.add((3, k), code)
+                    held.add((2, k), np.concatenate([code & ((1 << 2 * BITS) - 1), code >> BITS]))
+                    held.add((1, k), np.concatenate([code & MASK, code >> BITS & MASK]))
+                if held.many:
+                    yield from out()
+        yield from out()
+
+    needs = dealt.mapInArrow(wanted, "block int, size int, code long")
+    slices = needs.join(models.table.hint("merge"), ["size", "code"]).select("block", "name", "size", "code", "log_p", "log_back")
+    names = [c for c in df.columns]
+
+    def rate(rows: pa.Table, grams: pa.Table) -> pa.Table:
+        unseen, entropy = shared.value
+        by_lang = {}
+        found = grams.column("name").combine_chunks().dictionary_encode() if grams.num_rows else None
+        if found is not None:
+            found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
+            of = found.indices.to_numpy(zero_copy_only=False)
+            size, code, p, back = (grams.column(c).to_numpy() for c in ("size", "code", "log_p", "log_back"))
+            for i, x in enumerate(found.dictionary.to_pylist()):
+                at = of == i
+                by_lang[x] = Slice(size[at], code[at], p[at].astype(np.float64), np.nan_to_num(back[at].astype(np.float64)), unseen[x])
+        s = _Scorer(by_lang, entropy)
+        parts = []
+        for big in rows.combine_chunks().to_batches():
             for b in bounded(big, BATCH):
                 texts, langs = b.column("text").to_pylist(), b.column("lang").to_pylist()
                 counts = list(zip(*map(base, texts), strict=True))
-                cols = [pa.array(c, pa.int64()) for c in counts]
                 lp = s.log_perplexity(texts, langs)
-                cols += [pa.array([s.name(x) for x in langs], pa.string()), pa.array(lp, pa.float64(), mask=np.isnan(lp)), b.column("text_hash")]
-                names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "model", "log_perplexity", "text_hash"]
-                parts.append(pa.RecordBatch.from_arrays([b.column("doc_id"), *cols], names=["doc_id", *names]))
-            return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+                cols = [*(b.column(c) for c in names), *(pa.array(c, pa.int64()) for c in counts), pa.array([s.name(x) for x in langs], pa.string()), pa.array(lp, pa.float64(), mask=np.isnan(lp)), b.column("text_hash")]
+                parts.append(pa.RecordBatch.from_arrays(cols, names=[*names, *(x.split()[0] for x in _FIELDS.split(", "))]))
+        return pa.Table.from_batches(parts)
 
-        return f
-
-    return map_batches(df, make, f"doc_id {kind}, {_FIELDS}")
+    out = T.StructType([*columns.fields, *T.StructType.fromDDL(_FIELDS).fields])
+    return dealt.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(rate, out)
 
 
 def _failed():
@@ -399,16 +511,19 @@ def bands(scores: DataFrame, width: float = WIDTH, slack: float = SLACK) -> dict
     return out
 
 
+def _inside(scores: DataFrame, found: dict[str, tuple[float, float]]) -> DataFrame:
+    """``scores`` with kept, by the base rules and the bands."""
+    limits = scores.sparkSession.createDataFrame([(k, *x) for k, x in found.items()], "band string, low double, high double")
+    inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
+    return scores.join(F.broadcast(limits), F.col("model") == F.col("band"), "left").withColumn("inside", ~_failed() & inside)
+
+
 def verdicts(scores: DataFrame, found: dict[str, tuple[float, float]]) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, perplexity."""
-    inside = F.lit(True)
-    for name, (low, high) in sorted(found.items()):
-        inside = F.when(F.col("model") == name, F.col("log_perplexity").between(low, high)).otherwise(inside)
-    failed = _failed()
-    return scores.select(
+    return _inside(scores, found).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"),
-        (~failed & F.coalesce(inside, F.lit(True))).alias("kept"),
+        _failed().alias("base_failed"),
+        F.col("inside").alias("kept"),
         "model",
         F.exp("log_perplexity").alias("perplexity"),
     )
@@ -424,24 +539,7 @@ def judge(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """``docs``, all columns as they are, without the rows that ``judge`` rejects."""
     tables = Tables(docs.sparkSession)
-    models = train(docs)
-    found = bands(tables.cut(score(docs, models)))
-    shared = docs.sparkSession.sparkContext.broadcast((models, found))
-    at_text, at_lang = docs.columns.index("text"), docs.columns.index("lang")
-
-    def make():
-        s, limits = _scorer(shared.value[0]), shared.value[1]
-
-        def f(big: pa.RecordBatch) -> pa.RecordBatch:
-            keep: list[bool] = []
-            for b in bounded(big.select([at_text, at_lang]), BATCH):
-                texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
-                for t, x, lp in zip(texts, langs, s.log_perplexity(texts, langs), strict=True):
-                    n, *_, repeat = base(t)
-                    low, high = limits.get(s.name(x), (-np.inf, np.inf))
-                    keep.append(not base_failed(n, repeat) and (np.isnan(lp) or low <= lp <= high))
-            return big.filter(pa.array(keep, pa.bool_()))
-
-        return f
-
-    return map_batches(docs, make, docs.schema)
+    own = {c: c if c in ("doc_id", "text", "lang") else f"own_{i}" for i, c in enumerate(docs.columns)}
+    scores = tables.cut(_scored(docs.select(*[F.col(f"`{c}`").alias(x) for c, x in own.items()]), train(docs)))
+    kept = _inside(scores, bands(scores)).where("inside")
+    return kept.select(*[F.col(x).alias(c, metadata=docs.schema[c].metadata) for c, x in own.items()]).to(docs.schema)

@@ -330,3 +330,20 @@ def test_urls(spark):
         assert got[i].verdict == verdict and (got[i].rule == rule or i == 1), i
     assert (got[2].host, got[2].path) == ("www.example.com", "/en/a") and got[1].rule is None and got[9].host == got[9].path == ""
     assert url_filter.judge_urls(df.where("false")).count() == 0
+
+
+def test_models_keep_every_character_and_language(spark):
+    letters = [chr(0x4E00 + i) for i in range(300)]
+    rng = np.random.default_rng(5)
+    texts = ["".join(letters[i] for i in rng.integers(0, 300, 400)) for _ in range(12)]
+    rows_ = [(i, t, "zh") for i, t in enumerate(texts)] + [(100 + i, " ".join(WORDS), f"l{i:02}") for i in range(20)]
+    m = quality.train(spark.createDataFrame(rows_, "doc_id long, text string, lang string"))
+    assert len(m.entropy) == 21
+    t = m.table.where("name = 'zh'").toPandas()
+    assert set(t[(t["size"] == 1) & t.log_p.notna()].code) == {0, *map(ord, set("".join(texts)))}
+    s = quality.Slice(*(t[c].to_numpy() for c in ("size", "code", "log_p")), np.nan_to_num(t.log_back.to_numpy()), m.unseen["zh"])
+    symbols = np.array(sorted(t[(t["size"] == 1) & t.log_p.notna()].code) + [ord("q")])
+    for x, y in [(texts[0][4], texts[0][5]), (texts[3][0], "q"), ("q", texts[3][0]), ("\0", texts[7][0])]:
+        p = np.exp(s.log_prob(ord(x) << 2 * quality.BITS | ord(y) << quality.BITS | symbols))
+        assert abs(p.sum() - 1) < 1e-3
+    assert {r.model for r in quality.score(spark.createDataFrame(rows_, "doc_id long, text string, lang string"), m).collect()} == set(m.entropy)
