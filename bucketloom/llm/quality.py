@@ -11,8 +11,9 @@ as sorted arrays that are searched by halves: a worker holds the part of the mod
 A text may hold passages in other languages. Where a stretch of STRETCH characters is worse by POOR than
 its language's model is on average, and another language's model fits it better, it counts by that one.
 
-A language's band is the median of its texts' log perplexity per character plus and minus WIDTH robust standard
-deviations (SLACK at least). Texts outside are rejected. Each distinct text counts once in a band, so that copies of one text
+Short texts scatter more, so a language's texts are parted by length, in classes of powers of two of LEAST texts at least. In a class a text's distance is its
+log perplexity less the class's median, in robust standard deviations. A language's lower and upper limits are the least distances
+beyond which normal tails would hold EXCESS of the texts that are there at most; where no tail is that heavy there is no limit. Texts outside are rejected. Each distinct text counts once in a band, so that copies of one text
 can't move it; bands are read off a histogram of bounded size.
 
 Defined results: null text has no words and fails the base rules, as does every text under MIN_WORDS words. A null language
@@ -22,6 +23,7 @@ table gives an empty result. Other columns, of any name, are ignored (``keep_goo
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +45,8 @@ BLOCK, LEAST_BLOCKS = 16 << 20, 12
 HELD = 1 << 20
 #: The alphabet of the models in memory (``kneser_ney``), by which tests check the arithmetic.
 SYMBOLS = 64
-WIDTH, SLACK = 4.5, 0.1
+#: Share of texts beyond a limit that normal tails would give at most, and the limit of languages of under LEAST texts.
+EXCESS, WIDTH, LEAST = 0.1, 4.5, 50
 STRETCH, POOR = 64, 0.15
 #: Width of a histogram's cells, in log perplexity.
 CELL = 0.005
@@ -488,37 +491,71 @@ def _failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
-def bands(scores: DataFrame, width: float = WIDTH, slack: float = SLACK) -> dict[str, tuple[float, float]]:
-    """By model, the log perplexities between which texts are kept. Over distinct texts that pass the base rules."""
-    each = scores.where(~_failed() & F.col("log_perplexity").isNotNull()).groupBy("model", "text_hash").agg(F.min("log_perplexity").alias("x"))
-    cells = each.groupBy("model", F.floor(F.col("x") / CELL).alias("cell")).agg(F.count("*").alias("n")).collect()
-    out = {}
-    by: dict[str, list[tuple[int, int]]] = {}
-    for r in cells:
-        by.setdefault(r["model"], []).append((r["cell"], r["n"]))
-    for name, hist in by.items():
-        x, n = np.array(sorted(hist)).T
-
-        def middle(values: np.ndarray, n: np.ndarray = n) -> float:
-            o = np.argsort(values, kind="stable")
-            c = np.cumsum(n[o])
-            return float(values[o][np.searchsorted(c, c[-1] / 2)])
-
-        centre = middle((x + 0.5) * CELL)
-        spread = middle(np.abs((x + 0.5) * CELL - centre)) * 1.4826
-        reach = max(slack, width * spread)
-        out[name] = (centre - reach, centre + reach)
+def _tail(x: np.ndarray) -> np.ndarray:
+    """The normal distribution's share beyond x."""
+    return np.array([math.erfc(v / math.sqrt(2)) / 2 for v in x])
+
+
+def _middle(values: np.ndarray, n: np.ndarray) -> float:
+    o = np.argsort(values, kind="stable")
+    c = np.cumsum(n[o])
+    return float(values[o][np.searchsorted(c, c[-1] / 2)])
+
+
+def _limit(z: np.ndarray, n: np.ndarray) -> float:
+    """The least distance beyond which normal tails would hold EXCESS of the texts there."""
+    if n.sum() < LEAST:
+        return WIDTH
+    at = np.arange(2, 12, 0.05)
+    o = np.argsort(z, kind="stable")
+    beyond = n.sum() - np.concatenate([[0], np.cumsum(n[o])])[np.searchsorted(z[o], at, side="right")]
+    heavy = np.flatnonzero((beyond > 0) & (n.sum() * _tail(at) <= EXCESS * beyond))
+    return float(at[heavy[0]]) if len(heavy) else math.inf
+
+
+def bands(scores: DataFrame) -> list[tuple[str, int, int, float, float]]:
+    """Model, fewest and most word characters, and the log perplexities between which such texts are kept. Over distinct texts that pass the base rules."""
+    each = scores.where(~_failed() & F.col("log_perplexity").isNotNull()).groupBy("model", "text_hash").agg(F.min("log_perplexity").alias("x"), F.min("word_chars").alias("chars"))
+    kinds = F.floor(F.log2(F.greatest(F.col("chars"), F.lit(1)))).cast("int").alias("kind"), F.floor(F.col("x") / CELL).alias("cell")
+    by: dict[str, dict[int, list[tuple[int, int]]]] = {}
+    for r in each.groupBy("model", *kinds).agg(F.count("*").alias("n")).collect():
+        by.setdefault(r["model"], {}).setdefault(r["kind"], []).append((r["cell"], r["n"]))
+    out = []
+    for name, of in sorted(by.items()):
+        classes: list[tuple[int, list[tuple[int, int]]]] = []  # first kind and histogram
+        for kind in sorted(of):
+            if classes and sum(n for _, n in classes[-1][1]) < LEAST:
+                classes[-1][1].extend(of[kind])
+            else:
+                classes.append((kind, [*of[kind]]))
+        if len(classes) > 1 and sum(n for _, n in classes[-1][1]) < LEAST:
+            classes[-2][1].extend(classes.pop()[1])
+        fits, z, texts = [], [], []
+        for _, hist in classes:
+            cell, n = np.array(sorted(hist)).T
+            x = (cell + 0.5) * CELL
+            centre = _middle(x, n)
+            spread = max(CELL, _middle(np.abs(x - centre), n) * 1.4826)
+            fits.append((centre, spread))
+            z.append((x - centre) / spread)
+            texts.append(n)
+        every, count = np.concatenate(z), np.concatenate(texts)
+        low, high = _limit(-every, count), _limit(every, count)
+        begins = [0, *(1 << kind for kind, _ in classes[1:])]
+        for begin, end, (centre, spread) in zip(begins, [*begins[1:], 1 << 62], fits, strict=True):
+            out.append((name, begin, end - 1, centre - low * spread, centre + high * spread))
     return out
 
 
-def _inside(scores: DataFrame, found: dict[str, tuple[float, float]]) -> DataFrame:
-    """``scores`` with kept, by the base rules and the bands."""
-    limits = scores.sparkSession.createDataFrame([(k, *x) for k, x in found.items()], "band string, low double, high double")
+def _inside(scores: DataFrame, found: list[tuple[str, int, int, float, float]]) -> DataFrame:
+    """``scores`` with inside, by the base rules and the bands."""
+    limits = scores.sparkSession.createDataFrame(found, "band string, least long, most long, low double, high double")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
-    return scores.join(F.broadcast(limits), F.col("model") == F.col("band"), "left").withColumn("inside", ~_failed() & inside)
+    fits = (F.col("model") == F.col("band")) & F.col("word_chars").between(F.col("least"), F.col("most"))
+    return scores.join(F.broadcast(limits), fits, "left").withColumn("inside", ~_failed() & inside)
 
 
-def verdicts(scores: DataFrame, found: dict[str, tuple[float, float]]) -> DataFrame:
+def verdicts(scores: DataFrame, found: list[tuple[str, int, int, float, float]]) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, perplexity."""
     return _inside(scores, found).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

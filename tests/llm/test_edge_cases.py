@@ -347,3 +347,17 @@ def test_models_keep_every_character_and_language(spark):
         p = np.exp(s.log_prob(ord(x) << 2 * quality.BITS | ord(y) << quality.BITS | symbols))
         assert abs(p.sum() - 1) < 1e-3
     assert {r.model for r in quality.score(spark.createDataFrame(rows_, "doc_id long, text string, lang string"), m).collect()} == set(m.entropy)
+
+
+def test_bands_follow_the_scores(spark):
+    rng = np.random.default_rng(11)
+    fields = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, model string, log_perplexity double, text_hash long"
+    clean = [(1.6 + s * x, n) for s, n in ((0.02, 4000), (0.005, 60000)) for x in rng.standard_normal(1000)]
+    junk = [(1.6 + sign * d, n) for d, n in ((0.085, 4000), (0.04, 60000)) for sign in (-1, 1) for _ in range(30)]
+    data = [(i, 500, n, 0, 0, 0, "en", float(x), i) for i, (x, n) in enumerate(clean + junk)]
+    scores = spark.createDataFrame(data, fields)
+    kept = {r.doc_id for r in quality.verdicts(scores, quality.bands(scores)).collect() if r.kept}
+    assert not any(i in kept for i in range(len(clean), len(data)))
+    assert sum(i in kept for i in range(len(clean))) >= 0.98 * len(clean)
+    scores = scores.where(f"doc_id < {len(clean)}")
+    assert quality.verdicts(scores, quality.bands(scores)).where("kept").count() >= 0.99 * len(clean)
