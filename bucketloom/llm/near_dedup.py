@@ -1,17 +1,20 @@
 """Operator 7: exact n-gram Jaccard self-join by token-combination prefixes, and the groups that its links make.
 
 A text's set holds the 64-bit hashes of its distinct shingles of K words. Texts with equal sets are one class, and only
-classes are joined. Shingles are ordered: rare ones by hash, then frequent ones by hash; frequent ones are those found most often
-when all texts' shingles are counted (MAX_FREQUENT at most, so they are broadcast; any choice gives the same links). With
+classes are joined. Shingles are ordered: rare ones by hash, then frequent ones by hash. Texts are counted in blocks of BLOCK shingles, and
+the frequent ones are those with the largest sums of counts of LOCAL_LEAST or more in a block (MAX_FREQUENT at most, so they are broadcast).
+Which ones count as frequent is a matter of cost alone: any choice gives the same links. With
 |x & y| >= 3/4 |x | y| two classes share
 
 * a rare shingle among the first |x| - ceil(3/4 |x|) + 1 of each, or
-* no rare shingle at all. Then the shingles that only one of them has, at most a third of those shared, can't part
+* no rare shingle at all. Then either has fewer rare ones than that. The shingles that only one of them has, at most a third of those shared, can't part
   all neighbours among the shared ones, so within the first |x|/2 + 2 of each, two frequent shingles that follow each
   other in one do so in the other.
 
-So each class is indexed by the rare shingles of its prefix and by the combinations of two successive frequent ones of its
-extended prefix. Groups are wanted, so not every pair of a bucket is compared. First each member is compared with its bucket's first
+So each class is indexed by the rare shingles of its prefix and, where these are all it has and too few for that prefix, by the combinations of two successive
+frequent ones of its extended prefix. Longer combinations of neighbours aren't sure to be shared at this threshold. In the second case both classes' rare shingles together
+are a third of either's frequent ones at most, so of two heavy classes (over a sixth) neither can be the other's partner by a combination: many texts that share a long
+passage and nothing else meet there without being compared. Groups are wanted, so not every pair of a bucket is compared. First each member is compared with its bucket's first
 one and with two that come shortly before it by size, inside blocks of the index and then between blocks, which leaves no bucket
 in one task. What this links is contracted. Buckets that still hold several components are then compared completely, pair by pair across
 components, in blocks and with no cap. Each class carries the parities of its shingles' hashes in cells, and |x & y| is at most
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import Tables, bounded, join_unique, only
+from bucketloom.llm.common import Tables, bounded, in_worker, join_unique, kept, only
 from bucketloom.llm.components import components
 
 K = 5
@@ -52,12 +55,11 @@ SHORT_MOST = 1024
 OPEN_BLOCK, OPEN_PAIRS = 1024, 1 << 18
 LOW_KEYS = 4
 INDEX_BLOCK = 1 << 20
-WORDS = 300_000
+WORDS = 150_000
 STEP = 7
 BLOOM_BITS = 26
 BATCH = 4 << 20
 
-_words: dict[bytes, int] = {}
 _U = np.uint64
 
 
@@ -74,13 +76,14 @@ def shingles(text: bytes, k: int = K) -> np.ndarray:
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    if len(_words) > WORDS:
-        _words.clear()
-    found = list(map(_words.get, words))
+    known = kept(dict, "words")
+    if len(known) > WORDS:
+        known.clear()
+    found = list(map(known.get, words))
     if None in found:
         for i, x in enumerate(found):
             if x is None:
-                found[i] = _words[words[i]] = xxhash.xxh3_64_intdigest(words[i])
+                found[i] = known[words[i]] = xxhash.xxh3_64_intdigest(words[i])
     w = np.array(found, np.uint64)
     m = min(k, n)
     with np.errstate(over="ignore"):
@@ -124,26 +127,27 @@ def may_link(n: int, m: int, sig: bytes, other: bytes) -> bool:
     return linked(n, m, most)
 
 
-def index_keys(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The keys under which a class is indexed; ``frequent`` is sorted."""
+def index_keys(own: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The keys under which a class is indexed, even for rare shingles and odd for combinations, and whether it is heavy; ``frequent`` is sorted."""
     n = len(own)
     first = n - -(-LINK[0] * n // LINK[1]) + 1
     often = np.zeros(n, bool)
     if len(frequent):
         often = frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own
     rare = own[~often]
-    keys = rare[:first]
-    some = own[often][: max(0, n // 2 + 2 - len(rare))]
+    keys = rare[:first] & ~_U(1)
+    some = own[often][: max(0, n // 2 + 2 - len(rare))] if len(rare) < first else own[:0]
     if len(some) > 1:
         with np.errstate(over="ignore"):
-            keys = np.concatenate([keys, _mix(some[:-1] * _U(0xC2B2AE3D27D4EB4F) + some[1:])])
-    return keys
+            keys = np.concatenate([keys, _mix(some[:-1] * _U(0xC2B2AE3D27D4EB4F) + some[1:]) | _U(1)])
+    return np.unique(keys), 6 * len(rare) > n - len(rare)
 
 
 def first_pass(docs: DataFrame) -> DataFrame:
     """Rows of texts (h null): doc_id, row_hash, n, fp; and rows of shingles that are frequent in a block: h, n."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, kinds = [], 0, None
 
@@ -182,13 +186,14 @@ def frequent_shingles(counted: DataFrame, total: int) -> np.ndarray:
 
 
 def classes_of(docs: DataFrame, carriers: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """node, row_hash, n_shingles, fp, keys, sig, short of one text of each set.
+    """node, row_hash, n_shingles, fp, keys, heavy, sig, short of one text of each set.
 
     The texts to take, ``carriers``, are known by a filter of fixed size; one taken beside them makes a second
     node of its set, which the join links to the first.
     """
     shared = docs.sparkSession.sparkContext.broadcast((frequent, _bloom(carriers.select(F.col("row_hash").alias("h")))))
 
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, bloom = shared.value
         seen: set[bytes] = set()
@@ -196,7 +201,7 @@ def classes_of(docs: DataFrame, carriers: DataFrame, frequent: np.ndarray) -> Da
             for b in bounded(big, BATCH):
                 h = b.column("row_hash").to_numpy(zero_copy_only=False)
                 at = np.flatnonzero(in_bloom(bloom, h))
-                hashes, n, fps, keys, sigs, shorts = [], [], [], [], [], []
+                hashes, n, fps, keys, heavy, sigs, shorts = [], [], [], [], [], [], []
                 for i, x in zip(at, b.column("text").cast(pa.binary()).take(pa.array(at)).to_pylist(), strict=True):
                     own = shingles(x or b"")
                     fp = xxhash.xxh3_128_digest(own.tobytes())
@@ -208,13 +213,15 @@ def classes_of(docs: DataFrame, carriers: DataFrame, frequent: np.ndarray) -> Da
                     hashes.append(h[i])
                     n.append(len(own))
                     fps.append(fp)
-                    keys.append(index_keys(own, frequent).tobytes())
+                    indexed, weighs = index_keys(own, frequent)
+                    keys.append(indexed.tobytes())
+                    heavy.append(weighs)
                     sigs.append(signature(own))
                     shorts.append(short_form(sigs[-1], len(own)))
                 if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(n, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(shorts, pa.binary())], names=["row_hash", "n_shingles", "fp", "keys", "sig", "short"])
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(n, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.binary()), pa.array(heavy, pa.bool_()), pa.array(sigs, pa.binary()), pa.array(shorts, pa.binary())], names=["row_hash", "n_shingles", "fp", "keys", "heavy", "sig", "short"])
 
-    made = docs.select("text", "row_hash").mapInArrow(run, "row_hash long, n_shingles long, fp binary, keys binary, sig binary, short binary")
+    made = docs.select("text", "row_hash").mapInArrow(run, "row_hash long, n_shingles long, fp binary, keys binary, heavy boolean, sig binary, short binary")
     return made.withColumn("node", F.monotonically_increasing_id())
 
 
@@ -249,6 +256,7 @@ def _row_batch(kind: int, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y), pa.array(n)], names=["kind", "x", "y", "n"])
 
 
+@in_worker
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Index rows of a block of classes: pairs found inside it (kind 0), each key's first class (kind 1), and keys of several classes (kind 2)."""
     held: list[tuple[np.ndarray, int, int]] = []
@@ -284,6 +292,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
+@in_worker
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of _blocks dealt by key and sorted by (kind, x, n, y): pairs and keys pass, buckets give pairs of their blocks' firsts and their key."""
     last: tuple | None = None
@@ -340,14 +349,15 @@ def in_bloom(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
 def _nodes_of(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The classes that are in pairs."""
     found = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    return classes.select("node", "row_hash").join(found.hint("merge"), "node", "left_semi")
+    return classes.select("node", "row_hash", "fp").join(found.hint("merge"), "node", "left_semi")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, tables: Tables) -> DataFrame:
-    """node, own: the whole sets of ``nodes`` (node, row_hash), from their texts."""
-    nodes = tables.cut(nodes.select("node", "row_hash"))
+    """node, own: the whole sets of ``nodes`` (node, row_hash, fp), from their texts; a set is known by its 128-bit fingerprint."""
+    nodes = tables.cut(nodes.select("node", "row_hash", "fp"))
     shared = docs.sparkSession.sparkContext.broadcast(_bloom(nodes.select(F.col("row_hash").alias("h"))))
 
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for big in batches:
@@ -361,10 +371,11 @@ def sets_of(docs: DataFrame, nodes: DataFrame, tables: Tables) -> DataFrame:
                 if len(at):
                     texts = b.column("text").cast(pa.binary()).take(pa.array(at, pa.int64())).to_pylist()
                     own = [shingles(x or b"").tobytes() for x in texts]
-                    yield pa.RecordBatch.from_arrays([pa.array(h[at]), pa.array(own, pa.large_binary()).cast(pa.binary())], names=["row_hash", "own"])
+                    fp = [xxhash.xxh3_128_digest(x) for x in own]
+                    yield pa.RecordBatch.from_arrays([pa.array(h[at]), pa.array(fp, pa.binary()), pa.array(own, pa.large_binary()).cast(pa.binary())], names=["row_hash", "fp", "own"])
 
-    made = docs.select("text", "row_hash").mapInArrow(run, "row_hash long, own binary")
-    return tables.cut(nodes.join(made.hint("merge"), "row_hash").select("node", "own"))
+    made = docs.select("text", "row_hash").mapInArrow(run, "row_hash long, fp binary, own binary")
+    return tables.cut(nodes.join(made.hint("merge"), ["row_hash", "fp"]).select("node", "own"))
 
 
 def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -372,6 +383,7 @@ def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     own = classes.select("node", "n_shingles", "sig")
     both = pairs.hint("merge").join(own.toDF("a", "n", "sig"), "a").hint("merge").join(own.toDF("b", "m", "other"), "b")
 
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = pa.array([may_link(*x) for x in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)], pa.bool_())
@@ -386,6 +398,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b of the pairs that link. The adaptive skew join splits the pairs of a node that has many."""
     both = pairs.hint("merge").join(sets.toDF("a", "own_a"), "a").hint("merge").join(sets.toDF("b", "own_b"), "b")
 
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in bounded(big, BATCH):
@@ -407,27 +420,30 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _exploded(classes: DataFrame, keys: DataFrame) -> DataFrame:
-    """node, n, key: the index as rows, without most keys that only one class has (known by a filter of fixed size)."""
+    """node, n, key, heavy: the index as rows, without most keys that only one class has (known by a filter of fixed size); heavy at combinations of heavy classes alone."""
     shared = classes.sparkSession.sparkContext.broadcast(_bloom(keys.select(F.col("a").alias("h"))))
 
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [np.frombuffer(k, np.int64) for k in b.column("keys").to_pylist()]
             lens = [len(k) for k in own]
             key = np.concatenate(own) if own else np.zeros(0, np.int64)
             keep = in_bloom(shared.value, key)
-            node, n = (np.repeat(b.column(c).to_numpy(), lens)[keep] for c in ("node", "n_shingles"))
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(key[keep])], names=["node", "n", "key"])
+            node, n, heavy = (np.repeat(b.column(c).to_numpy(zero_copy_only=False), lens)[keep] for c in ("node", "n_shingles", "heavy"))
+            key = key[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(key), pa.array(heavy & (key & 1 == 1))], names=["node", "n", "key", "heavy"])
 
-    return classes.select("node", "n_shingles", "keys").mapInArrow(run, "node long, n long, key long")
+    return classes.select("node", "n_shingles", "heavy", "keys").mapInArrow(run, "node long, n long, key long, heavy boolean")
 
 
 def _open_buckets(index: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
-    """Rows of the index (node, n, key) whose bucket holds several components, with their component and the bucket's rows."""
+    """Rows of the index (node, n, key, heavy) whose bucket holds several components and not heavy ones alone, with their component and the bucket's light and heavy rows."""
     named = index.join(labels.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = tables.cut(named.select("node", "n", "key", "component"))
-    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo <> hi")
-    return tables.cut(named.hint("merge").join(several.select("key", "rows"), "key"))
+    named = tables.cut(named.select("node", "n", "key", "heavy", "component"))
+    weights = F.count_if(~F.col("heavy")).alias("light_rows"), F.count_if("heavy").alias("heavy_rows")
+    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *weights).where("lo <> hi AND light_rows > 0")
+    return tables.cut(named.hint("merge").join(several.select("key", "light_rows", "heavy_rows"), "key"))
 
 
 class _Open:
@@ -495,6 +511,7 @@ class _Open:
             yield _distinct(np.minimum(x, y), np.maximum(x, y))
 
 
+@in_worker
 def _compare_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: _Open | None = None
 
@@ -517,16 +534,17 @@ def _compare_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _open_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b: distinct pairs of open buckets across components that may link.
 
-    A bucket of more than OPEN_BLOCK classes is dealt out in blocks; each two of them, and each with itself, meet in a cell of
-    bounded size. A pair is left to a lesser key only where both classes' LOW_KEYS least keys have it, so none is lost.
+    A bucket's light and heavy classes are dealt out in blocks of about OPEN_BLOCK; each two blocks that aren't both heavy, and each light one with itself, meet in a cell of
+    bounded size. A pair is left to a lesser key only where both classes' LOW_KEYS least keys have it, so none is lost; heavy classes' combinations don't count among these.
     """
-    low = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LOW_KEYS).alias("low"))
+    low = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.when(~F.col("heavy"), F.col("key")))), 1, LOW_KEYS).alias("low"))
     none = F.lit(2**63 - 1)
     low = low.select("node", *[F.coalesce(F.get("low", F.lit(i)), none).alias(f"low{i}") for i in range(LOW_KEYS)])
     carried = classes.select("node", "short").hint("merge").join(low, "node")
-    blocks = F.ceil(F.col("rows") / OPEN_BLOCK).cast("int")
-    wide = rows.hint("merge").join(carried, "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    light, heavy = (F.ceil(F.col(c) / OPEN_BLOCK).cast("int") for c in ("light_rows", "heavy_rows"))
+    at = F.xxhash64("node")
+    wide = rows.hint("merge").join(carried, "node").withColumn("own", F.when(F.col("heavy"), light + F.pmod(at, heavy)).otherwise(F.pmod(at, light)).cast("int"))
+    wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("heavy"), light).otherwise(light + heavy) - 1)))
     wide = wide.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "n", "node", "component", "short", *[f"low{i}" for i in range(LOW_KEYS)])
     return wide.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "n", "node").mapInArrow(_compare_open, "a long, b long").distinct()
 
