@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bucketloom.llm.common import Tables, bounded, only
+from bucketloom.llm.common import Tables, be_lean, bounded, in_worker, only
 
 MIN_WORDS, MOST_REPEATED = 50, 50
 #: Bits of a character in an n-gram's code.
@@ -40,11 +40,11 @@ BITS = 21
 MASK = (1 << BITS) - 1
 EDGE, SPACE, DIGIT = 0, 32, 48
 #: Characters of a block, and the fewest blocks.
-BLOCK, LEAST_BLOCKS = 16 << 20, 12
+BLOCK, LEAST_BLOCKS = 8 << 20, 12
 #: Distinct n-grams that a task holds before it hands them on.
 HELD = 1 << 20
-#: The alphabet of the models in memory (``kneser_ney``), by which tests check the arithmetic.
-SYMBOLS = 64
+#: Cells of a table of pairs of characters; larger alphabets are sorted instead.
+TABLE = 1 << 22
 #: Share of texts beyond a limit that normal tails would give at most, and the limit of languages of under LEAST texts.
 EXCESS, WIDTH, LEAST = 0.1, 4.5, 50
 STRETCH, POOR = 64, 0.15
@@ -118,103 +118,51 @@ def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(low).encode("utf-32-le"), np.uint32), lens
 
 
-def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Trigrams inside texts, and how many each has. An edge before the first leaves it a bigram's context."""
+def _numbered(s: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number of each trigram of ``s`` where ``own``, and the codes by number, ascending. Tables of characters, pairs and triples while they're small."""
+    flags = np.zeros(int(s.max()) + 1, bool)
+    flags[s] = True
+    chars = np.flatnonzero(flags)
+    a = len(chars)
+    if a * a <= TABLE:
+        lut = np.zeros(len(flags), np.int32)
+        lut[chars] = np.arange(a, dtype=np.int32)
+        d = lut[s]
+        pairs, p = _ranked(d[:-1] * np.int32(a) + d[1:], a * a)
+        if len(pairs) * a <= 4 * TABLE:
+            triples, ids = _ranked((p[:-1] * np.int32(a) + d[2:])[own], len(pairs) * a)
+            first = pairs[triples // a]
+            return ids, (chars[first // a] << (2 * BITS)) | (chars[first % a] << BITS) | chars[triples % a]
+    w = s.astype(np.int64)
+    codes, ids = np.unique(((w[:-2] << (2 * BITS)) | (w[1:-1] << BITS) | w[2:])[own], return_inverse=True)
+    return ids, codes
+
+
+def _ranked(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of ``x``, all under ``size``, and each value's place among them."""
+    flags = np.zeros(size, bool)
+    flags[x] = True
+    found = np.flatnonzero(flags)
+    lut = np.zeros(size, np.int32)
+    lut[found] = np.arange(len(found), dtype=np.int32)
+    return found, lut[x]
+
+
+def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number of each trigram inside the texts, one text after another; the codes by number; and how many trigrams each text has.
+
+    An edge before a text's first character leaves it a bigram's context.
+    """
     c, lens = code_points(texts)
-    if len(c) < 3:
-        return np.zeros(0, np.int64), np.zeros(len(lens), np.int64)
-    s = c.astype(np.int64)
+    if not len(c):
+        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(len(lens), np.int64)
+    s = c.copy()
     s[(s >= 9) & (s <= 13)] = SPACE
     s[(s >= 48) & (s < 58)] = DIGIT
-    doc = np.repeat(np.arange(len(lens)), lens)
-    own = doc[:-2] == doc[2:]
-    code = (s[:-2] << (2 * BITS)) | (s[1:-1] << BITS) | s[2:]
-    return code[own], np.maximum(lens - 2, 0)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit hash."""
-    with np.errstate(over="ignore"):
-        x = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
-def ngram_hash(order: int, code: np.ndarray) -> np.ndarray:
-    return _mix(np.asarray(code, np.uint64) | np.uint64(order << 40))
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """The three discounts of modified Kneser-Ney, from how many n-grams occur 1 to 4 times."""
-    n = [float((counts == k).sum()) for k in range(1, 5)]
-    if not all(n):
-        return np.array([0.5, 1.0, 1.5])
-    y = n[0] / (n[0] + 2 * n[1])
-    d = np.array([k + 1 - (k + 2) * y * n[k + 1] / n[k] if k < 2 else 3 - 4 * y * n[3] / n[2] for k in range(3)])
-    return np.clip(d, [0.05, 0.1, 0.1], [0.95, 1.95, 2.95])
-
-
-def _smoothed(counts: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Interpolated probabilities along the last axis, and the weight of the lower order."""
-    d = np.concatenate([[0.0], _discounts(counts)])
-    kind = np.minimum(counts, 3).astype(np.int64)
-    total = counts.sum(axis=-1, keepdims=True)
-    safe = np.maximum(total, 1)
-    weight = np.where(total > 0, d[kind].sum(axis=-1, keepdims=True) / safe, 1.0)
-    return (counts - d[kind]) / safe + weight * lower, weight[..., 0]
-
-
-@dataclass(frozen=True)
-class HashedModel:
-    """Log probabilities and log back-off weights of the n-grams that occur, by their sorted hashes."""
-
-    chars: tuple[int, ...]
-    keys: np.ndarray
-    log_p: np.ndarray
-    log_back: np.ndarray
-    #: Mean negative log probability of a character of the counted texts.
-    entropy: float = 0.0
-
-    def find(self, order: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each n-gram is there, and where."""
-        want = ngram_hash(order, code)
-        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
-        return self.keys[at] == want, at
-
-    def log_prob(self, code: np.ndarray) -> np.ndarray:
-        """log p of trigrams, backing off to bigrams and single symbols."""
-        out, back = np.zeros(len(code)), np.zeros(len(code))
-        todo = np.arange(len(code))
-        for order in (3, 2, 1):  # all single symbols are found
-            has, at = self.find(order, code[todo] % SYMBOLS**order)
-            out[todo[has]] = back[todo[has]] + self.log_p[at[has]]
-            todo = todo[~has]
-            if order > 1:
-                known, at = self.find(order - 1, code[todo] // SYMBOLS % SYMBOLS ** (order - 1))
-                back[todo[known]] += self.log_back[at[known]]
-        return out
-
-
-def kneser_ney(counts: np.ndarray, chars: list[int]) -> HashedModel:
-    """The model of a language from its trigram counts (SYMBOLS**3 numbers)."""
-    c3 = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
-    c2 = (c3 > 0).sum(axis=0)
-    c1 = (c2 > 0).sum(axis=0)
-    p1, _ = _smoothed(c1, np.full(SYMBOLS, 1 / SYMBOLS))
-    p2, w2 = _smoothed(c2, p1)
-    p3, w3 = _smoothed(c3, p2)
-    keys, p, back = [], [], []
-    for order, (c, prob, weight) in enumerate([(c1, p1, w2), (c2, p2, w3), (c3, p3, None)], 1):
-        # A bigram that only ever is a context (after an edge) keeps its back-off weight too; all single symbols are there.
-        seen = np.flatnonzero((c.ravel() > 0) | (weight.ravel() < 1 if weight is not None else False) | (order == 1))
-        keys.append(ngram_hash(order, seen))
-        p.append(np.log(prob.ravel()[seen]))
-        back.append(np.log(np.maximum(weight.ravel()[seen], 1e-12)) if weight is not None else np.zeros(len(seen)))
-    k = np.concatenate(keys)
-    order = np.argsort(k)
-    entropy = float(-(c3 * np.log(np.maximum(p3, 1e-300))).sum() / max(1, c3.sum()))
-    return HashedModel(tuple(chars), k[order], np.concatenate(p)[order].astype(np.float32), np.concatenate(back)[order].astype(np.float32), entropy)
+    own = np.ones(len(s), bool)  # not where a trigram reaches into the next text
+    end = np.cumsum(lens[lens > 0])
+    own[end - 1] = own[end - 2] = False
+    return *_numbered(s, own[:-2]), np.maximum(lens - 2, 0)
 
 
 @dataclass(frozen=True)
@@ -273,16 +221,6 @@ class _Scorer:
     def name(self, lang: str | None) -> str:
         return lang if lang is not None and lang in self.entropy else REST
 
-    def _stretches(self, name: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Negative log probability of each stretch of all texts, its characters, and the stretches of each text."""
-        code, n = _codes(texts)
-        parts = -(-n // STRETCH)
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        begin = np.repeat(np.cumsum(n) - n, parts) + nth * STRETCH
-        size = np.diff(np.append(begin, len(code)))
-        distinct, of = np.unique(code, return_inverse=True)
-        return -np.add.reduceat(self.by_lang[name].log_prob(distinct)[of], begin, dtype=np.float64), size, parts
-
     def log_perplexity(self, texts: list[str | None], langs: list[str | None]) -> np.ndarray:
         """Mean negative log probability of a character of each text; NaN for empty ones."""
         out = np.full(len(texts), np.nan)
@@ -293,18 +231,23 @@ class _Scorer:
         for name, rows in by.items():
             if name not in self.by_lang:
                 continue
-            nats, size, parts = self._stretches(name, [texts[i] for i in rows])
-            doc = np.repeat(np.arange(len(rows)), parts)
-            poor = np.unique(doc[nats > size * (self.entropy[name] + POOR)])
+            ids, codes, n = trigrams([texts[i] for i in rows])
+            parts = -(-n // STRETCH)
+            first = np.cumsum(parts) - parts
+            nth = np.arange(parts.sum()) - np.repeat(first, parts)
+            begin = np.repeat(np.cumsum(n) - n, parts) + nth * STRETCH
+            size = np.diff(np.append(begin, len(ids)))
+            nats = -np.add.reduceat(self.by_lang[name].log_prob(codes)[ids], begin, dtype=np.float64)
+            usual = size * (self.entropy[name] + POOR)
+            poor = np.flatnonzero(nats > usual)
             others = [x for x in self.by_lang if x not in (name, REST)]
             if len(poor) and others:
-                at = np.isin(doc, poor)
-                some = [texts[rows[d]] for d in poor]
-                least = np.full(at.sum(), np.inf)
+                at = np.repeat(begin[poor], size[poor]) + np.arange(size[poor].sum()) - np.repeat(np.cumsum(size[poor]) - size[poor], size[poor])
+                seen, of = _ranked(ids[at], len(codes))
+                edge = np.cumsum(size[poor]) - size[poor]
                 for x in others:
-                    least = np.minimum(least, self._stretches(x, some)[0])
-                usual = size[at] * (self.entropy[name] + POOR)
-                nats[at] = np.where(nats[at] > usual, np.minimum(nats[at], least), nats[at])
+                    nats[poor] = np.minimum(nats[poor], -np.add.reduceat(self.by_lang[x].log_prob(codes[seen])[of], edge, dtype=np.float64))
+            doc = np.repeat(np.arange(len(rows)), parts)
             out[rows] = np.bincount(doc, nats, len(rows)) / np.bincount(doc, size, len(rows))
         return out
 
@@ -316,9 +259,9 @@ class _Counts:
         self.held: dict = {}
         self.n = 0
 
-    def add(self, key, code: np.ndarray) -> None:
-        self.held.setdefault(key, []).append(np.unique(code, return_counts=True))
-        self.n += len(self.held[key][-1][0])
+    def add(self, key, code: np.ndarray, n: np.ndarray) -> None:
+        self.held.setdefault(key, []).append((code, n))
+        self.n += len(code)
         if self.n > HELD:
             self._merge()
 
@@ -372,6 +315,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Models:
     tables = Tables(docs.sparkSession)
     df = only(docs, text=text, lang=lang).where("text IS NOT NULL AND text <> ''")
 
+    @in_worker
     def count(batches):
         held = _Counts()
 
@@ -385,7 +329,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Models:
                 for t, x in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
                     groups.setdefault(REST if x is None else x, []).append(t)
                 for name, texts in groups.items():
-                    held.add(name, _codes(texts)[0])
+                    ids, code, _ = trigrams(texts)
+                    held.add(name, code, np.bincount(ids, minlength=len(code)))
                 if held.many:
                     yield from out()
         yield from out()
@@ -436,6 +381,7 @@ def _scored(df: DataFrame, models: Models) -> DataFrame:
     dealt = df.withColumn("text_hash", F.xxhash64("text")).withColumn("block", F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in df.columns]), F.lit(blocks)).cast("int")).repartition("block")
     shared = spark.sparkContext.broadcast((models.unseen, models.entropy))
 
+    @in_worker
     def wanted(batches):
         held = _Counts()
 
@@ -449,10 +395,10 @@ def _scored(df: DataFrame, models: Models) -> DataFrame:
                 block = b.column("block").to_numpy()
                 texts = b.column("text")
                 for k in np.unique(block).tolist():
-                    code = np.unique(_codes(texts.take(pa.array(np.flatnonzero(block == k))).to_pylist())[0])
-                    held.add((3, k), code)
-                    held.add((2, k), np.concatenate([code & ((1 << 2 * BITS) - 1), code >> BITS]))
-                    held.add((1, k), np.concatenate([code & MASK, code >> BITS & MASK]))
+                    code = trigrams(texts.take(pa.array(np.flatnonzero(block == k))).to_pylist())[1]
+                    for size, own in ((3, code), (2, np.concatenate([code & ((1 << 2 * BITS) - 1), code >> BITS])), (1, np.concatenate([code & MASK, code >> BITS & MASK]))):
+                        own = np.unique(own)
+                        held.add((size, k), own, np.ones(len(own), np.int64))
                 if held.many:
                     yield from out()
         yield from out()
@@ -462,6 +408,7 @@ def _scored(df: DataFrame, models: Models) -> DataFrame:
     names = [c for c in df.columns]
 
     def rate(rows: pa.Table, grams: pa.Table) -> pa.Table:
+        be_lean()
         unseen, entropy = shared.value
         by_lang = {}
         found = grams.column("name").combine_chunks().dictionary_encode() if grams.num_rows else None

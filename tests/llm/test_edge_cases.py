@@ -112,13 +112,17 @@ def test_quality(docs, none):
     assert kept.schema == docs.schema and Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if r.kept)
 
 
-def test_kneser_ney_probabilities_sum_to_one():
-    counts = np.zeros((quality.SYMBOLS,) * 3)
-    rng = np.random.default_rng(1)
-    counts[rng.integers(0, 20, 4000), rng.integers(0, 20, 4000), rng.integers(0, 20, 4000)] += rng.integers(1, 9, 4000)
-    m = quality.kneser_ney(counts.ravel(), list(range(97, 123)))
-    p = np.exp(m.log_prob(np.arange(quality.SYMBOLS**3))).reshape(-1, quality.SYMBOLS).sum(axis=1)
-    assert np.allclose(p, 1, atol=1e-3)
+def test_trigrams_are_numbered_alike_by_tables_and_by_sorting(monkeypatch):
+    texts = ["Aab  b1\n2", None, "x", "", "\u6f22\u5b57 kana \u304b\u306a", "ab" * 300]
+    want = []
+    for t in texts:
+        x = [0, *(32 if c.isspace() else 48 if c in "0123456789" else ord(c) for c in t.lower()), 0] if t else []
+        want.append([p << 2 * quality.BITS | q << quality.BITS | r for p, q, r in zip(x, x[1:], x[2:])])
+    for cells in (quality.TABLE, 20, 0):  # all tables, pairs sorted, everything sorted
+        monkeypatch.setattr(quality, "TABLE", cells)
+        ids, codes, n = quality.trigrams(texts)
+        assert codes[ids].tolist() == sum(want, []) and n.tolist() == [len(x) for x in want] and (np.diff(codes) > 0).all()
+        assert len(quality.trigrams([None, ""])[0]) == 0
 
 
 def test_shards(docs, none):
