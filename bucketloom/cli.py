@@ -7,12 +7,15 @@ import json
 import sys
 from datetime import UTC, datetime
 
+from pyspark.sql import functions as F
+
 from bucketloom.model import TimeRange, spec_of
+from bucketloom.operators.relational import selected
 from bucketloom.plans import config, pipeline, tiering
 from bucketloom.plans.state import FAILED, Checkpoint
 from bucketloom.session import session
-from bucketloom.sinks import parquet
-from bucketloom.sinks.writer import writer_version
+from bucketloom.sinks import parquet, projections
+from bucketloom.sinks.writer import SinkError, writer_version
 from bucketloom.sources import shapes
 from bucketloom.sources.http import HEALTH, SourceError, TelemetrySource, healthy
 
@@ -34,17 +37,17 @@ def reader(spark, settings: config.Settings, signal: str, step: int):
 
     def read(window: TimeRange):
         if "://" not in url or url.startswith("file:"):
-            return shapes.archived(spark, url).where(f"signal = '{signal}'")
+            records = shapes.archived(spark, url).where(F.col("signal") == signal)
+            return selected(records, F.coalesce("signal_kind", F.lit("")), F.col("dimensions"), projections.PREFIX)
         spark.dataSource.register(TelemetrySource)
         options = {"url": url, "signal": signal, "selector": settings.selectors[signal], "start": int(window.start.timestamp()), "end": int(-(-window.end.timestamp() // 1)), "step": step, "timeout": settings.timeout}
         text = spark.read.format("telemetry").options(**{k: str(v) for k, v in options.items()}).load()
-        parse = lambda schema: text.selectExpr(f"from_json(value, '{schema}') AS j").select("j.*")
         if signal == "metrics":
-            return shapes.metric_records(parse(shapes.EXPORT))
+            return shapes.metric_records(shapes.parsed(text, shapes.EXPORT))
         if signal == "logs":
-            return shapes.log_records(parse(shapes.STREAMS))
+            return shapes.log_records(shapes.parsed(text, shapes.STREAMS))
         errors = spark.read.format("telemetry").options(**{k: str(v) for k, v in (options | {"selector": "{ status = error }"}).items()}).load()
-        return shapes.trace_records(parse(shapes.SEARCH), errors.selectExpr(f"from_json(value, '{shapes.SEARCH}') AS j").select("j.*"))
+        return shapes.trace_records(shapes.parsed(text, shapes.SEARCH), shapes.parsed(errors, shapes.SEARCH))
 
     return read
 
@@ -53,8 +56,10 @@ def _run(args, s: config.Settings, clock) -> int:
     spark, store, failed = session(), Checkpoint(s.state), 0
     for name in args.signal or s.signals:
         for g in s.granularities:
-            r = pipeline.run(reader(spark, s, name, g.seconds), s.signals[name], g, store, clock, s.archive, horizon=s.horizon, dry_run=args.dry_run)
+            r = pipeline.run(reader(spark, s, name, g.seconds), s.signals[name], g, store, clock, s.archive, s.destinations, horizon=s.horizon, dry_run=args.dry_run, strict_drift=s.strict_drift)
             print(r.summary())
+            for w in r.warnings:
+                print(f"warning: {w}", file=sys.stderr)
             for b, why in r.failed[:10]:
                 print(f"  {b.start.isoformat()}: {why[:200]}")
             failed += len(r.failed)
@@ -63,9 +68,14 @@ def _run(args, s: config.Settings, clock) -> int:
 
 def _probe(args, s: config.Settings, clock) -> int:
     window = TimeRange(args.start, args.end)
-    records = shapes.within(reader(session(), s, args.signal, 3600)(window), window).orderBy("timestamp", "identity")
-    for line in records.toJSON().toLocalIterator():
-        print(line)
+    records = shapes.within(reader(session(), s, args.signal, 3600)(window), window).persist()
+    try:
+        for line in records.orderBy("timestamp", "identity").toJSON().toLocalIterator():
+            print(line)
+        told = records.agg(F.count("*").alias("n"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("total")).first()
+        print(f"{args.signal}: {told['n']} records, value sum {told['total']:g}", file=sys.stderr)
+    finally:
+        records.unpersist()
     return OK
 
 
@@ -74,9 +84,9 @@ def _status(args, s: config.Settings, clock) -> int:
     for name, spec in s.signals.items():
         url = s.urls.get(name, "")
         up = healthy(url, HEALTH[name]) if "://" in url else bool(url)
-        print(f"{name}: {url or 'no url'} ({'up' if up else 'down'}), grace {spec.grace}, writer {writer_version(spec.sinks)}")
+        print(f"{name}: {url or 'no url'} ({'up' if up else 'down'}), grace {spec.grace}, writer {writer_version(spec)}")
         for g in s.granularities:
-            at = store.frontier(name, g, writer_version(spec.sinks))
+            at = store.frontier(name, g, writer_version(spec))
             print(f"  {g.name}: watermark {g.watermark(now, spec.grace).isoformat()}, frontier {at.isoformat() if at else 'none'}")
             for b in store.buckets(name, g, FAILED)[:10]:
                 print(f"    failed {datetime.fromtimestamp(b['start'], UTC).isoformat()} after {b['attempts']} attempts: {b['error']}")
@@ -100,9 +110,15 @@ def _tiering(args, s: config.Settings, clock) -> int:
 
 
 def _backfill(args, s: config.Settings, clock) -> int:
+    spec_of(args.signal)
+    if args.signal not in s.signals:
+        raise ValueError(f"{args.signal} isn't enabled")
     spark, store, window = session(), Checkpoint(s.state), TimeRange(args.start, args.end)
     for g in s.granularities:
-        print(pipeline.backfill(reader(spark, s, args.signal, g.seconds), spec_of(args.signal), g, store, clock, s.archive, window).summary())
+        r = pipeline.backfill(reader(spark, s, args.signal, g.seconds), s.signals[args.signal], g, store, clock, s.archive, window, s.destinations, s.strict_drift)
+        print(r.summary())
+        for w in r.warnings:
+            print(f"warning: {w}", file=sys.stderr)
     return OK
 
 
@@ -131,7 +147,7 @@ def main(argv: list[str] | None = None, clock=None) -> int:
     except SourceError as e:
         print(f"backend: {e}", file=sys.stderr)
         return BACKEND
-    except ValueError as e:
+    except (ValueError, SinkError) as e:
         print(f"usage: {e}", file=sys.stderr)
         return USAGE
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 CUMULATIVE = ("_total", "_count", "_sum", "_bucket")
 #: Severities that mean none was given (fixed values).
 NO_SEVERITY = ("", "unknown", "unspecified", "none")
-_UNITS = {"s": 1, "m": 60, "h": 3600, "d": 86_400, "w": 604_800, "y": 31_536_000}
+UNITS = {"s": 1, "m": 60, "h": 3600, "d": 86_400, "w": 604_800, "y": 31_536_000}
+#: A duration as text: a number and a unit.
+DURATION = r"^\s*([0-9]+(?:\.[0-9]+)?)\s*([smhdwySMHDWY])\s*$"
 
 
 # Buckets
@@ -108,12 +110,11 @@ def positive_int(x: Column, default: int = 1) -> Column:
 
 def duration_seconds(x: Column) -> Column:
     """Seconds of ``3d``, ``72h``, ``1.5h``; null where it can't be read."""
-    pattern = r"^\s*([0-9]+(?:\.[0-9]+)?)\s*([smhdwySMHDWY])\s*$"
-    unit = F.lower(F.regexp_extract(x, pattern, 2))
+    unit = F.lower(F.regexp_extract(x, DURATION, 2))
     factor = F.lit(None).cast("int")
-    for u, n in _UNITS.items():
+    for u, n in UNITS.items():
         factor = F.when(unit == u, F.lit(n)).otherwise(factor)
-    return F.regexp_extract(x, pattern, 1).try_cast("double") * factor
+    return F.regexp_extract(x, DURATION, 1).try_cast("double") * factor
 
 
 def humanised(seconds: Column) -> Column:

@@ -71,6 +71,16 @@ def drift(records: DataFrame, configured: list[str], ignore: list[str] | None =
     return missing.unionByName(unexpected)
 
 
+def drift_by_bucket(records: DataFrame, bucket: Column, configured: list[str]) -> DataFrame:
+    """bucket, missing (configured keys that no record of the bucket has) and unexpected (the five most frequent others, as n and key), of buckets with either."""
+    keys = F.explode_outer(F.map_keys(X.canonical(F.col("dimensions"))))
+    seen = records.select(bucket.alias("bucket"), keys.alias("key")).groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.array(*map(F.lit, configured)).cast("array<string>")
+    other = F.when(~F.array_contains(wanted, F.col("key")), F.struct("n", "key"))
+    out = seen.groupBy("bucket").agg(F.sort_array(F.array_except(wanted, F.collect_set("key"))).alias("missing"), F.slice(F.sort_array(F.collect_list(other), False), 1, 5).alias("unexpected"))
+    return out.where((F.size("missing") > 0) | (F.size("unexpected") > 0))
+
+
 def top_unexpected(report: DataFrame, n: int = 5) -> DataFrame:
     return report.where("kind = 'unexpected'").orderBy(F.desc("n"), "key").limit(n)
 

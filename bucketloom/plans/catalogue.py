@@ -325,14 +325,6 @@ def vm_projection_long(spark, d):
     return long.select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"), "name", F.substring(F.col("dimensions")["route"], 2, 10).alias("shard"), F.round("value", 9).alias("value"))
 
 
-@query()
-def vm_projection_lines(spark, d):
-    return projections.prometheus_lines(A.rollup(raw_records(spark, d, "traces"), SPECS["traces"], Granularity("1d", DAY)))
-
-
-@query()
-def loki_projection_json(spark, d):
-    return projections.log_lines(A.rollup(raw_records(spark, d, "logs"), SPECS["logs"], Granularity("1h", HOUR)))
 
 
 @query("""SELECT count(*) AS n FROM events WHERE NOT starts_with(CASE WHEN event_id % 5 = 0 THEN 'rollup_' || event_type ELSE event_type END, 'rollup_')
@@ -407,8 +399,3 @@ def safety_margin_check(spark, d):
 def lineitem_daily_rollup(spark, d):
     df = spark.read.parquet(f"{d}/lineitem.parquet").groupBy(X.bucket_start(F.col("l_shipdate"), DAY).alias("bucket_start"), "l_returnflag", "l_linestatus")
     return df.agg(F.count("*").alias("n"), F.round(A.exact_sum(F.col("l_quantity")), 4).alias("sum_qty"), F.min("l_extendedprice").alias("min_price"), F.max("l_extendedprice").alias("max_price"))
-
-
-@query()
-def cold_tier_rows(spark, d):
-    return A.rollup(raw_records(spark, d, "metrics"), SPECS["metrics"], Granularity("1h", HOUR))

@@ -10,6 +10,9 @@ from datetime import timedelta
 from bucketloom.model import COMMON, DAY_1, HOUR_1, SPECS, Granularity, SignalSpec, spec_of
 from bucketloom.plans.tiering import parse_duration
 
+#: The backend that takes a projection, and where it does (fixed values).
+INGEST = {"prometheus": ("metrics", "/api/v1/import/prometheus"), "loglines": ("logs", "/loki/api/v1/push")}
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -17,6 +20,10 @@ class Settings:
     signals: dict[str, SignalSpec] = field(default_factory=lambda: dict(SPECS))
     selectors: dict[str, str] = field(default_factory=lambda: {"metrics": '{__name__!~"rollup_.*", tier!="cold"}', "logs": '{service_name=~".+", tier!="cold"}', "traces": "{}"})
     urls: dict[str, str] = field(default_factory=dict)
+    #: Where projections go, by sink: a url to post to, or a path. By default the backends that are read.
+    destinations: dict[str, str] = field(default_factory=dict)
+    #: Whether a dimension that a bucket lacks altogether fails the run.
+    strict_drift: bool = False
     archive: str = "data/archive"
     state: str = "data/state.sqlite"
     horizon: timedelta = timedelta(hours=24)
@@ -45,6 +52,8 @@ def load(path: str | None = None, env=os.environ) -> Settings:
             signals[name] = replace(base, dimensions=dims, grace=grace, sinks=tuple(x.get("sinks", base.sinks)), percentiles=tuple(x.get("percentiles", base.percentiles)))
             selectors[name] = x.get("selector", selectors[name])
         grans = tuple(Granularity(g["name"], g["seconds"], g.get("retain")) for g in given.get("granularities", [])) or s.granularities
-        s = replace(s, granularities=grans, signals=signals or s.signals, selectors=selectors, archive=given.get("archive", s.archive), state=given.get("state", s.state))
+        s = replace(s, granularities=grans, signals=signals or s.signals, selectors=selectors, archive=given.get("archive", s.archive), state=given.get("state", s.state), destinations=dict(given.get("destinations", {})), strict_drift=bool(given.get("strict_drift", False)))
     urls = {name: env[f"LOOM_{name.upper()}_URL"] for name in SPECS if env.get(f"LOOM_{name.upper()}_URL")}
-    return replace(s, urls=s.urls | urls, archive=env.get("LOOM_ARCHIVE", s.archive), state=env.get("LOOM_STATE", s.state))
+    to = {sink: urls[name].rstrip("/") + path for sink, (name, path) in INGEST.items() if urls.get(name, "").startswith("http")}
+    to |= s.destinations | {sink: env[f"LOOM_SINK_{sink.upper()}"] for sink in INGEST if env.get(f"LOOM_SINK_{sink.upper()}")}
+    return replace(s, urls=s.urls | urls, destinations=to, archive=env.get("LOOM_ARCHIVE", s.archive), state=env.get("LOOM_STATE", s.state))

@@ -69,6 +69,10 @@ class Checkpoint:
         r = self._row(s, g, writer, start)
         return r["status"] if r else None
 
+    def attempts(self, s: str, g: Granularity, writer: str, start: datetime) -> int:
+        r = self._row(s, g, writer, start)
+        return r["attempts"] if r else 0
+
     def buckets(self, s: str, g: Granularity, status: str | None = None) -> list[dict]:
         q, args = "SELECT * FROM bucket WHERE signal=? AND granularity=?", [s, g.name]
         if status:

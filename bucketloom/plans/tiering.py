@@ -13,22 +13,15 @@ from bucketloom.model import SPECS, Granularity
 from bucketloom.sinks import parquet
 from bucketloom.sources.http import SourceError, get
 
-_UNIT = {"s": 1, "m": 60, "h": 3600, "d": 86_400, "w": 604_800, "y": 31_536_000}
 #: Trace blocks' retention where the backend doesn't tell (a fixed value).
 TRACES_HOT = timedelta(hours=24)
 MARGIN = timedelta(hours=2)
 
 
 def parse_duration(text: str | None) -> timedelta | None:
-    m = re.fullmatch(r"\s*([0-9]+(?:\.[0-9]+)?)\s*([smhdwy])\s*", text or "", re.I)
-    return timedelta(seconds=float(m[1]) * _UNIT[m[2].lower()]) if m else None
-
-
-def humanise(d: timedelta | None) -> str:
-    if d is None:
-        return "unknown"
-    s = int(d.total_seconds())
-    return next((f"{s // n}{u}" for u, n in (("d", 86_400), ("h", 3600)) if s % n == 0), f"{s // 60}m")
+    """A setting's duration, by the pattern and units of ``functions.duration_seconds``."""
+    m = re.fullmatch(X.DURATION, text or "")
+    return timedelta(seconds=float(m[1]) * X.UNITS[m[2].lower()]) if m else None
 
 
 def metrics_retention(flags: str) -> tuple[str | None, bool]:

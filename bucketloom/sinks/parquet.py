@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +26,38 @@ def write(rows: DataFrame, root: str) -> None:
 
 
 def write_empty(spark: SparkSession, root: str, signal: str, granularity: Granularity, buckets: list[TimeRange]) -> None:
-    """A schema-only file for each sealed bucket without rows, in place of whatever was there."""
+    """A schema-only file for each sealed bucket without rows, in place of whatever was there. One job makes the file; buckets get copies."""
+    if not buckets:
+        return
     fields = [f for f in ROLLUP if f.name not in PARTITIONS]
-    empty = spark.createDataFrame([], type(ROLLUP)(fields)).coalesce(1)
-    for b in buckets:
-        empty.write.option("partitionOverwriteMode", "static").option("compression", "zstd").mode("overwrite").parquet(bucket_path(root, signal, granularity.name, b))
+    with staging(spark, root) as place:
+        spark.createDataFrame([], type(ROLLUP)(fields)).coalesce(1).write.option("compression", "zstd").parquet(place)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path
+        fs = path(place).getFileSystem(conf)
+        (made,) = [s.getPath() for s in fs.globStatus(path(f"{place}/*.parquet"))]
+        for b in buckets:
+            to = path(bucket_path(root, signal, granularity.name, b))
+            fs.delete(to, True)
+            fs.mkdirs(to)
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, made, fs, path(f"{to.toString()}/{made.getName()}"), False, True, conf)
+
+
+@contextmanager
+def staging(spark: SparkSession, root: str):
+    """A folder beside the archive's partitions that its readers pass over; it goes at the end."""
+    place = f"{root}/_staging/{uuid.uuid4().hex}"
+    try:
+        yield place
+    finally:
+        delete([place], spark)
+
+
+def delete(paths: list[str], spark: SparkSession | None = None) -> None:
+    spark = spark or SparkSession.getActiveSession()
+    for p in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def read(spark: SparkSession, root: str) -> DataFrame:
@@ -49,10 +79,8 @@ def expire(spark: SparkSession, root: str, granularity: Granularity, before_date
 
 
 def files(spark: SparkSession, root: str, granularity: str = "1h") -> DataFrame:
-    """signal, path, bytes of every archive file, empty ones included, from the file system's listing."""
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/signal=*/granularity={granularity}/date=*/bucket=*/*.parquet"))
-    rows = [(s.getPath().toString().split("/signal=")[1].split("/")[0], s.getPath().toString().split("/bucket=")[0] + "/bucket=" + s.getPath().toString().split("/bucket=")[1].split("/")[0], s.getLen()) for s in found or []]
-    return spark.createDataFrame(rows, "signal string, bucket_path string, bytes long")
+    """signal, bucket_path, bytes of every archive file, empty ones included, from Spark's listing; no file is opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root).select("path", "length")
+    parts = r"^(.*/signal=([^/]+)/granularity=([^/]+)/date=[^/]+/bucket=[^/]+)/[^/]+$"
+    out = found.select(*[F.regexp_extract("path", parts, i).alias(c) for i, c in ((1, "bucket_path"), (2, "signal"), (3, "granularity"))], F.col("length").alias("bytes"))
+    return out.where(F.col("granularity") == granularity).select("signal", "bucket_path", "bytes")

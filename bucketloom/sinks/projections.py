@@ -22,7 +22,7 @@ def _is_counter() -> Column:
 
 
 def long_form(rows: DataFrame, prefix: str = PREFIX) -> DataFrame:
-    """A row for each projected aggregate that isn't null: bucket_start, name, aggregate, value, dimensions, granularity, schema_version.
+    """A row for each projected aggregate that isn't null: signal, bucket_start, name, aggregate, value, dimensions, granularity, schema_version.
 
     Extras win over columns of the same name. Every percentile that the rows carry is projected.
     """
@@ -33,7 +33,7 @@ def long_form(rows: DataFrame, prefix: str = PREFIX) -> DataFrame:
     out = rows.withColumn("__all", columns).withColumn("aggregate", F.explode(wanted))
     out = out.withColumn("value", F.coalesce(F.col("extras")[F.col("aggregate")], F.col("__all")[F.col("aggregate")]))
     name = F.concat(F.lit(prefix), "metric", F.lit("_"), "aggregate")
-    return out.where("value IS NOT NULL").select("bucket_start", name.alias("name"), "aggregate", "value", "dimensions", "granularity", "schema_version")
+    return out.where("value IS NOT NULL").select("signal", "bucket_start", name.alias("name"), "aggregate", "value", "dimensions", "granularity", "schema_version")
 
 
 def labels(**forced: Column) -> Column:
@@ -42,16 +42,16 @@ def labels(**forced: Column) -> Column:
     return X.canonical(F.map_concat(own, F.create_map(*[x for k, v in forced.items() for x in (F.lit(k), v.cast("string"))])))
 
 
-def prometheus_lines(rows: DataFrame, prefix: str = PREFIX) -> DataFrame:
-    """One column, value: exposition lines stamped at the bucket's start."""
+def prometheus_lines(rows: DataFrame, prefix: str = PREFIX, carry: tuple[str, ...] = ()) -> DataFrame:
+    """value: exposition lines stamped at the bucket's start; with the rows' columns ``carry``."""
     long = long_form(rows, prefix).withColumn("__labels", labels(tier=F.lit("cold"), granularity=F.col("granularity"), rollup_schema=F.col("schema_version")))
     rendered = F.array_join(F.transform(F.map_entries("__labels"), lambda e: F.concat(e["key"], F.lit('="'), X.escaped_label(e["value"]), F.lit('"'))), ",")
     stamp = F.unix_millis("bucket_start").cast("string")
-    return long.select(F.concat("name", F.lit("{"), rendered, F.lit("} "), F.col("value").cast("string"), F.lit(" "), stamp).alias("value"))
+    return long.select(*carry, F.concat("name", F.lit("{"), rendered, F.lit("} "), F.col("value").cast("string"), F.lit(" "), stamp).alias("value"))
 
 
-def log_lines(rows: DataFrame) -> DataFrame:
-    """stream (labels), ts_ns and line: one entry a row, compact JSON with its keys in order."""
+def log_lines(rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """stream (labels), ts_ns and line: one entry a row, compact JSON with its keys in order; with the rows' columns ``carry``."""
     body = F.map_concat(
         F.create_map(*[x for k, c in (("events", "sum"), ("entries", "count"), ("min", "min"), ("max", "max")) for x in (F.lit(k), F.col(c).cast("double"))]),
         F.map_filter("extras", lambda k, v: ~k.isin("events", "entries", "min", "max")),
@@ -61,4 +61,4 @@ def log_lines(rows: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.concat(fields, F.array(start)))
     line = F.concat(F.lit("{"), F.array_join(F.transform(ordered, lambda x: x["v"]), ","), F.lit("}"))
     stream = labels(tier=F.lit("cold"), signal=F.col("signal"), granularity=F.col("granularity"), rollup_schema=F.col("schema_version"))
-    return rows.select(stream.alias("stream"), (F.unix_seconds("bucket_start") * 1_000_000_000).cast("string").alias("ts_ns"), line.alias("line"))
+    return rows.select(*carry, stream.alias("stream"), (F.unix_seconds("bucket_start") * 1_000_000_000).cast("string").alias("ts_ns"), line.alias("line"))

@@ -65,12 +65,12 @@ def complete(fetch, window: TimeRange, limit: int) -> Iterator[tuple[TimeRange,
     yield window, rows
 
 
-def read_window(fetch, window: TimeRange, limit: int, time_of, identity_of) -> list:
-    """All rows of the window, each once."""
+def read_window(fetch, window: TimeRange, limit: int, time_of, identity_of, usable=None) -> list:
+    """All usable rows of the window, each once. Pages are judged full by what the backend sent, unusable rows included."""
     out, seen = [], set()
     for part, rows in complete(fetch, window, limit):
         for r in rows:
-            if time_of(r) in part:
+            if (usable is None or usable(r)) and time_of(r) in part:
                 key = identity_of(r)
                 if key in seen:
                     raise SourceError(f"identity {key!r} occurs twice in {window.start} .. {window.end}")
@@ -123,6 +123,12 @@ class _Reader(DataSourceReader):
         return [_Bucket(a, min(a + step, end)) for a in range(start, end, step)]
 
     def read(self, partition: _Bucket) -> Iterator[tuple]:
+        try:
+            yield from self._read(partition)
+        except SourceError as e:
+            raise type(e)(f"{self.o['signal']}: {e}") from e
+
+    def _read(self, partition: _Bucket) -> Iterator[tuple]:
         o, signal = self.o, self.o["signal"]
         window = TimeRange(datetime.fromtimestamp(partition.start, UTC), datetime.fromtimestamp(partition.end, UTC))
         limit, timeout, base = int(o.get("limit", PAGES[signal])), float(o.get("timeout", 30)), o["url"]
@@ -138,8 +144,8 @@ class _Reader(DataSourceReader):
                 yield (json.dumps({"data": {"resultType": "streams", "result": [{"stream": stream, "values": [values[:2]]}]}}),)
         else:
             rows = read_window(
-                lambda w, n: [t for t in fetch_traces(base, o.get("selector", "{}"), w, n, timeout) if t.get("traceID") and t.get("startTimeUnixNano")], window, limit,
-                lambda t: _from_nanos(int(t["startTimeUnixNano"])), lambda t: t["traceID"],
+                lambda w, n: fetch_traces(base, o.get("selector", "{}"), w, n, timeout), window, limit,
+                lambda t: _from_nanos(int(t["startTimeUnixNano"])), lambda t: t["traceID"], lambda t: bool(t.get("traceID") and t.get("startTimeUnixNano")),
             )
             for t in rows:
                 yield (json.dumps({"traces": [t]}),)

@@ -22,12 +22,17 @@ SEARCH = "traces array<struct<traceID: string, rootServiceName: string, rootTrac
 
 
 def read_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines read as text and parsed, so that a malformed line is a null row rather than a guess."""
-    return spark.read.text(path).select(F.from_json("value", schema).alias("j")).select("j.*")
+    """JSON lines; a malformed one fails the read."""
+    return parsed(spark.read.text(path), schema)
+
+
+def parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """Lines (value) as rows of the schema. Blank lines go; a line that isn't JSON of the schema's types fails the query."""
+    return lines.where(F.trim("value") != "").select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("j")).select("j.*")
 
 
 def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def metric_records(series: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from bucketloom.sinks import parquet, projections, writer
 T0 = datetime(2026, 8, 27, 10, tzinfo=UTC)
 H = timedelta(hours=1)
 SPEC = SPECS["metrics"]
-WRITER = writer.writer_version(SPEC.sinks)
+WRITER = writer.writer_version(SPEC)
 
 
 def raw(spark, hours=range(6), bad=()):
@@ -26,7 +26,7 @@ def raw(spark, hours=range(6), bad=()):
 def setup(spark, tmp_path):
     store = Checkpoint(str(tmp_path / "state.sqlite"))
     clock = pipeline.FrozenClock(T0 + 4 * H + timedelta(minutes=2))
-    go = lambda df, **k: pipeline.run(lambda w: df, SPEC, HOUR_1, store, clock, str(tmp_path / "archive"), horizon=4 * H, **k)
+    go = lambda df, **k: pipeline.run(lambda w: df, SPEC, HOUR_1, store, clock, str(tmp_path / "archive"), {"prometheus": str(tmp_path / "lines")}, horizon=4 * H, **k)
     yield spark, store, clock, str(tmp_path / "archive"), go
     store.close()
 
@@ -100,17 +100,64 @@ def test_backfill_replaces(setup, tmp_path):
     spark, store, clock, root, go = setup
     go(raw(spark))
     changed = raw(spark).withColumn("value", F.col("value") * 10)
-    r = pipeline.backfill(lambda w: changed, SPEC, HOUR_1, store, clock, root, TimeRange(T0 + H, T0 + 2 * H))
-    assert len(r.processed) == 1
+    r = pipeline.backfill(lambda w: changed, SPEC, HOUR_1, store, clock, root, TimeRange(T0 + H, T0 + 2 * H), {"prometheus": str(tmp_path / "lines")})
+    assert len(r.processed) == 1 and not any("twice" in w for w in r.warnings)
+    # Lines of the bucket were replaced, not added.
+    assert spark.read.text(str(tmp_path / "lines")).count() == 8
     assert [x["last"] for x in parquet.read(spark, root).orderBy("bucket").collect()] == [3, 30, 3, 3]
 
 
 def test_sinks_are_all_or_none(spark, tmp_path):
     rows = rollup(raw(spark, hours=(0,)), SPEC, HOUR_1)
-    fns = writer.sink_functions(str(tmp_path / "a"))
-    fns["prometheus"] = lambda df: (_ for _ in ()).throw(OSError("down"))
+    sinks = writer.sinks_of(["prometheus", "parquet"], str(tmp_path / "a"), {"prometheus": str(tmp_path / "lines")})
+    sinks["prometheus"] = writer.Sink(lambda df: (_ for _ in ()).throw(OSError("down")))
     with pytest.raises(writer.SinkError, match="prometheus failed after parquet"):
-        writer.write_all(rows, ["prometheus", "parquet"], fns)
+        writer.write_all(rows, sinks)
+
+
+def test_a_sink_without_destination_fails_before_anything_is_claimed(setup):
+    spark, store, clock, root, go = setup
+    with pytest.raises(writer.SinkError, match="no destination"):
+        pipeline.run(lambda w: raw(spark), SPEC, HOUR_1, store, clock, root, horizon=4 * H)
+    assert store.buckets("metrics", HOUR_1) == [] and store.frontier("metrics", HOUR_1, WRITER) is None
+    assert not writer.sinks_of(["loglines"], root, {"loglines": "http://localhost/push"})["loglines"].replaces_on_rewrite
+
+
+def test_a_failed_run_sends_each_line_once(setup, tmp_path):
+    spark, store, clock, root, go = setup
+    r = go(raw(spark, bad=(0,)))  # fails as a whole, then bucket by bucket
+    assert len(r.processed) == 3 and spark.read.text(str(tmp_path / "lines")).count() == 6
+    go(raw(spark))
+    assert spark.read.text(str(tmp_path / "lines")).count() == 8
+
+
+def test_the_source_is_read_once_and_the_run_tells_drift(setup):
+    spark, store, clock, root, go = setup
+    n = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            n.add(b.num_rows)
+            yield b
+
+    once = raw(spark, range(4)).mapInArrow(counted, RAW).withColumn("dimensions", F.expr("map('route', '/a', 'zone', 'z')"))
+    r = go(once)
+    assert len(r.processed) == 4 and n.value == 12
+    assert len([w for w in r.warnings if "no record has deployment_environment" in w and "service_name" in w and "zone (3)" in w]) == 4
+    store.reset("metrics")
+    assert len(go(once, strict_drift=True).failed) == pipeline.BREAKER
+
+
+def test_samples_of_one_instant_are_told(setup):
+    spark, store, clock, root, go = setup
+    rows_ = [("metrics", T0, {"route": "/a"}, float(i), f"k:1:{i:09d}", "hits_total") for i in range(3)]
+    assert any("hits_total has 3 samples" in w for w in go(spark.createDataFrame(rows_, RAW)).warnings)
+
+
+def test_the_writer_changes_with_the_signal():
+    from dataclasses import replace
+
+    assert len({writer.writer_version(x) for x in (SPEC, replace(SPEC, dimensions=("route",)), replace(SPEC, percentiles=(50,)), replace(SPEC, sinks=("parquet",)))}) == 4
 
 
 def test_projections(spark):
@@ -141,7 +188,7 @@ def test_retention_texts(spark):
     assert found == {"metrics": False, "logs": False, "traces": True}
     daily = tiering.safety(tiering.probe(spark, None, None), Granularity("1d", 86_400), count_width=True).where("signal = 'traces'").first()
     assert daily["safe"] is False
-    assert [tiering.humanise(tiering.parse_duration(x)) for x in ("72h", "90m", "x")] == ["3d", "90m", "unknown"]
+    assert [tiering.parse_duration(x) for x in ("72h", "90m", "x", None)] == [timedelta(days=3), timedelta(minutes=90), None, None]
 
 
 def test_command_line(spark, tmp_path, capsys, monkeypatch):
@@ -149,10 +196,21 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     for k, v in (("METRICS_URL", tmp_path / "raw"), ("ARCHIVE", tmp_path / "archive"), ("STATE", tmp_path / "s.sqlite")):
         monkeypatch.setenv(f"LOOM_{k}", str(v))
     clock = pipeline.FrozenClock(T0 + 3 * H)
+    assert cli.main(["run", "--signal", "metrics"], clock) == cli.USAGE  # its projection has no destination
+    assert not (tmp_path / "archive").exists()
+    monkeypatch.setenv("LOOM_SINK_PROMETHEUS", str(tmp_path / "lines"))
     assert cli.main(["run", "--signal", "metrics"], clock) == cli.OK
+    assert spark.read.text(str(tmp_path / "lines")).count() > 0
     assert "metrics/1h: 23 processed" in capsys.readouterr().out
     assert cli.main(["probe", "--signal", "metrics", "--from", "2026-08-27T10:00", "--to", "2026-08-27T13:00+02:00"], clock) == cli.OK
-    assert len(capsys.readouterr().out.splitlines()) == 3
+    told = capsys.readouterr()
+    assert len(told.out.splitlines()) == 3 and "3 records, value sum 6" in told.err
+    (tmp_path / "c.json").write_text(json.dumps({"signals": {"metrics": {"dimensions": ["zone"], "sinks": ["parquet"]}}}))
+    assert cli.main(["--config", str(tmp_path / "c.json"), "backfill", "--signal", "metrics", "--from", "2026-08-27T10:00", "--to", "2026-08-27T11:00"], clock) == cli.OK
+    hour = parquet.read(spark, str(tmp_path / "archive")).where("granularity = '1h' AND bucket = 1787824800").collect()
+    assert [r.dimensions for r in hour] == [{}]
+    assert cli.main(["--config", str(tmp_path / "c.json"), "backfill", "--signal", "logs", "--from", "2026-08-27T10:00", "--to", "2026-08-27T11:00"], clock) == cli.USAGE
+    capsys.readouterr()
     assert cli.main(["probe", "--signal", "metrics", "--from", "2026-08-27", "--to", "2026-08-27"], clock) == cli.USAGE
     assert cli.main(["run", "--signal", "logs"], clock) == cli.BACKEND
     assert cli.main(["status"], clock) == cli.OK

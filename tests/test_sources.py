@@ -76,6 +76,18 @@ def test_full_pages_are_halved_and_ends_are_open():
     assert [r[1] for r in got] == list(range(360))
 
 
+def test_unusable_rows_count_towards_a_full_page():
+    rows = [(T0 + timedelta(seconds=i % 3600), i if i != 7 else None) for i in range(3000)]
+    got = http.read_window(fake(sorted(rows, key=lambda r: r[0])), HOUR, 1000, lambda r: r[0], lambda r: r[1], lambda r: r[1] is not None)
+    assert len(got) == 2999
+
+
+def test_malformed_lines_fail(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"metric": {"__name__": "a"}, "values": [1], "timestamps": [1]}\n\n{"metric": {"__name__"\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        shapes.read_lines(spark, str(tmp_path / "x.jsonl"), shapes.EXPORT).collect()
+
+
 def test_a_window_that_stays_full_fails():
     rows = [(T0 + timedelta(milliseconds=i), i) for i in range(100)]
     with pytest.raises(http.SourceTruncated):
