@@ -33,7 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from bucketloom.llm.common import Recent, map_batches, only, texts_of
+from bucketloom.llm.common import Recent, kept, map_batches, only, texts_of
 
 #: Entries of each generation of a worker's table of words, and of its table of arcs, which then starts anew.
 WORDS, ARCS = 400_000, 1_000_000
@@ -206,16 +206,9 @@ class Codec:
         return out
 
 
-_codecs: dict[str, Codec] = {}
-
-
 def codec(vocabulary: str) -> Codec:
     """One per worker and vocabulary, kept between tasks."""
-    key = hashlib.sha256(vocabulary.encode()).hexdigest()
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(vocabulary)
-    return _codecs[key]
+    return kept(lambda: Codec(vocabulary), hashlib.sha256(vocabulary.encode()).hexdigest())
 
 
 def _coded(docs: DataFrame, vocabulary_path: str, doc_id: str, text: str, fields: str, row) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import io
 import os
 import tempfile
@@ -45,14 +47,66 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_kept: dict[str, object] = {}
+_lean = False
+
+
+def be_lean() -> None:
+    """Once a worker: Arrow takes memory from malloc, and malloc gives large blocks back to the system as they are freed."""
+    global _lean
+    if not _lean:
+        _lean = True
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            libc = ctypes.CDLL(None)
+            for option, value in ((-3, 1 << 18), (-1, 1 << 20), (-8, 2)):  # M_MMAP_THRESHOLD, M_TRIM_THRESHOLD, M_ARENA_MAX
+                libc.mallopt(option, value)
+        except (OSError, AttributeError):  # not glibc
+            pass
+
+
+def _trim() -> None:
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def kept(make: Callable[[], object], name: str):
+    """A worker's object of that name, made at first use; it stays until a task of another module runs in the worker (``in_worker``)."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def in_worker(run):
+    """Wraps a function of Arrow batches: workers are reused by all operators, so each keeps tables of one module at a time."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        be_lean()
+        if _kept.get("") != run.__module__:
+            _kept.clear()
+            _kept[""] = run.__module__
+            _trim()
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return wrapped
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a folder of our own only where the session has none (tests)."""
+    """The folder of spark.checkpoint.dir; a folder of our own only where a local session has none (tests)."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not found:
         at = sc._jsc.sc().getCheckpointDir()
         if at.isDefined():
             found = at.get()
+        elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         else:
             found = "file://" + tempfile.mkdtemp(prefix="loom-checkpoint-")
             sc.setCheckpointDir(found)
@@ -142,7 +196,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    run.__module__ = make.__module__
+    return df.mapInArrow(in_worker(run), schema)
 
 
 def bounded(batch: pa.RecordBatch, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import Tables
+from bucketloom.llm.common import Tables, in_worker
 
 PART_LINKS = 1 << 20
 
@@ -40,6 +40,7 @@ def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[own], nodes[roots[own]]
 
 
+@in_worker
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import SALT_ROWS, Tables, bounded, join_unique, map_batches, only, texts_of
+from bucketloom.llm.common import SALT_ROWS, Tables, bounded, in_worker, join_unique, map_batches, only, texts_of
 
 #: The smallest prime over sqrt(2) * 2**126: 127 bits, and no pattern in its bits that short edits could meet.
 PRIME = isqrt(2 << 252) + 24
@@ -105,6 +105,7 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return map_batches(df, make, f"doc_id {kind}, fp binary, norm binary")
 
 
+@in_worker
 def _compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (fp, salt): each against the first of its group. Equal ones go, the first passes on, others are told."""
     at, first, n = None, b"", 0

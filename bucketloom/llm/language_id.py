@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import bounded, map_batches, only
+from bucketloom.llm.common import bounded, in_worker, map_batches, only
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -97,6 +97,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     number = {x: i for i, x in enumerate(languages)}
     size = len(languages) * BUCKETS
 
+    @in_worker
     def count(batches):
         total = np.zeros(size, np.int64)
         for big in batches:

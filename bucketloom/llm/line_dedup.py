@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import Tables, bounded, join_unique, only
+from bucketloom.llm.common import Tables, bounded, in_worker, join_unique, only
 
 MIN_WORDS = 50
 BATCH = 4 << 20
@@ -56,6 +56,7 @@ def _found(docs: DataFrame, least: int) -> DataFrame:
     """doc_id, row_hash, content, fingerprint, first, last of all windows."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in bounded(big, BATCH):
@@ -104,6 +105,7 @@ def without_repeats(docs: DataFrame, least: int = MIN_WORDS, doc_id: str = "doc_
     runs = found.select(F.col("row_hash").alias("own"), "runs").groupBy("own").agg(F.first("runs").alias("runs"))
     joined = df.join(runs.hint("merge"), F.col("row_hash") == F.col("own"), "left").select("doc_id", "text", "runs")
 
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in bounded(big, BATCH):

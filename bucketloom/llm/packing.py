@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import Recent, Tables, bounded, only, texts_of
+from bucketloom.llm.common import Recent, Tables, bounded, in_worker, kept, only, texts_of
 
 CAPACITY, END_ID = 4096, 1
 SLACK = 16
@@ -134,15 +134,8 @@ class Tokens:
         return out
 
 
-_tokens: dict[str, Tokens] = {}
-
-
 def tokens(vocabulary: str) -> Tokens:
-    key = hashlib.sha256(vocabulary.encode()).hexdigest()
-    if key not in _tokens:
-        _tokens.clear()
-        _tokens[key] = Tokens(vocabulary)
-    return _tokens[key]
+    return kept(lambda: Tokens(vocabulary), hashlib.sha256(vocabulary.encode()).hexdigest())
 
 
 def pieces_of(ids: bytes, capacity: int, end_id: int) -> Iterator[tuple[int, int, int, int]]:
@@ -185,6 +178,7 @@ def _batches(bins: Iterator[tuple[int, list]], doc_id_type: pa.DataType, rows: i
 
 
 def _local(vocabulary, capacity: int, end_id: int, slack: int):
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit, encode, kind = BestFit(capacity), tokens(vocabulary.value), None
 
@@ -220,6 +214,7 @@ def _local(vocabulary, capacity: int, end_id: int, slack: int):
 
 
 def _node(capacity: int):
+    @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = None
 
