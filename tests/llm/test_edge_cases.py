@@ -308,6 +308,24 @@ def test_boilerplate_inside_marked_articles_goes_and_copied_articles_stay(spark)
     assert got == {**{i: own(i) for i in range(5)}, **{10 + i: own(50) for i in range(4)}, **{20 + i: x for i, x in enumerate(near)}, **{30 + i: own(60) for i in range(4)}}
 
 
+def test_a_notice_goes_wherever_its_pages_lie(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "GROUP_PAGES", 16)
+    monkeypatch.setattr(html_text, "LEAST_PART", 64)
+    notice = "<p>we take great care of what you read here and thank all who help us</p>"
+    body = lambda i: f"<p>{' '.join(f'w{i}x{j}' for j in range(30))}</p><p>{' '.join(f'v{i}x{j}' for j in range(20))}</p>"
+    many = [(i, "http://a.org/" + str(i), f"<html><body>{body(i)}{notice if i in (7, 150, 280) else ''}</body></html>") for i in range(300)]
+    few = [(1000 + i, "http://b.org/", f"<article>{body(5000 + i)}{notice if i < 2 else ''}</article>") for i in range(4)]
+    copies = [(2000 + i, "http://c.org/", f"<article>{body(9000)}</article>") for i in range(40)]
+    got = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(many + few + copies, "page_id long, url string, html string").repartition(parts)
+        got.append({r.page_id: r.text for r in html_text.extract(df).collect()})
+    assert got[0] == got[1] and len(got[0]) == 344
+    assert not any("great care" in got[0][i] for i in (7, 150, 280)) and sum("great care" in x for x in got[0].values()) == 2
+    assert all(got[0][i].split("\n")[0].startswith(f"w{i}x0 ") and got[0][i].count("\n") == 1 for i in range(300))
+    assert len({got[0][2000 + i] for i in range(40)}) == 1 and got[0][2000].startswith("w9000x0")
+
+
 def test_repeated_runs_by_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(20):
