@@ -12,6 +12,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ HOT_SHARE = 1 / 1000
 #: Rows of one hot group that meet in one task.
 SALT_ROWS = 128
 
+#: Distinct codes that a task counts before it hands them on.
+HELD = 1 << 20
+
 _shipped: set[str] = set()
 
 
@@ -241,6 +245,38 @@ class Recent:
         return found
 
 
+class Counts:
+    """Distinct codes and how often each occurs, by key; handed on when there are many."""
+
+    def __init__(self):
+        self.held: dict = {}
+        self.n = 0
+
+    def add(self, key, code: np.ndarray, n: np.ndarray) -> None:
+        self.held.setdefault(key, []).append((code, n))
+        self.n += len(code)
+        if self.n > HELD:
+            self._merge()
+
+    def _merge(self) -> None:
+        for key, parts in self.held.items():
+            if len(parts) > 1:
+                codes, of = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+                self.held[key] = [(codes, np.bincount(of, np.concatenate([n for _, n in parts])).astype(np.int64))]
+        self.n = sum(len(parts[0][0]) for parts in self.held.values())
+
+    @property
+    def many(self) -> bool:
+        return self.n > HELD // 2
+
+    def take(self):
+        self._merge()
+        for key, parts in self.held.items():
+            for i in range(0, len(parts[0][0]), 1 << 16):
+                yield key, parts[0][0][i : i + (1 << 16)], parts[0][1][i : i + (1 << 16)]
+        self.__init__()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

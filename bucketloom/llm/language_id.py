@@ -8,8 +8,8 @@ more share (PENALTY * log(1 + windows)). Where even the best language of every w
 single language stands without further iterations, which gives the same set.
 
 The predicted language is the one with the largest share; its score is that share or, for a single language, its
-posterior probability. The model has BUCKETS * languages numbers, MAX_LANGUAGES (the most frequent ones) at
-most, whatever the input, so it is broadcast.
+posterior probability. Every language of the training rows is learned. The model is broadcast; its size depends on the number of languages, not of rows:
+BUCKETS numbers a language, or, where there are more than DENSE languages, one for each trigram that a language's rows hold.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; so is every text if nothing could be
 learned. A null doc_id isn't held out. Repeated rows give repeated results; an empty table gives an empty result. Other
@@ -19,21 +19,25 @@ columns, of any name, are ignored (``keep_identified`` hands them through).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bucketloom.llm.common import bounded, in_worker, map_batches, only
+from bucketloom.llm.common import Counts, bounded, in_worker, map_batches, only
 
 BITS = 18
 BUCKETS = 1 << BITS
 WINDOW = 32
 PENALTY = 3.0
 SMOOTHING = 0.05
-MAX_LANGUAGES = 64
+#: Languages up to which the model is one table of all buckets.
+DENSE = 32
 ITERATIONS = 25
+#: Trigrams whose entries are added up at a time where the model isn't one table.
+SPARSE_STEP = 1 << 14
 #: Texts of a batch, in bytes, whose windows are computed together.
 BATCH = 2 << 20
 
@@ -76,11 +80,41 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
+    """log p(bucket | language): for each language its value of buckets that it never saw, and what seen ones have beyond it, by bucket."""
+
     languages: tuple[str, ...]
-    #: log p(bucket | language), BUCKETS rows.
-    log_p: np.ndarray
+    unseen: np.ndarray
+    #: Where each bucket's entries begin; their languages and values.
+    begin: np.ndarray
+    lang: np.ndarray
+    beyond: np.ndarray
     log_prior: np.ndarray
 
+    @cached_property
+    def dense(self) -> np.ndarray:
+        out = np.zeros((BUCKETS, len(self.languages)), np.float32)
+        out[np.repeat(np.arange(BUCKETS), np.diff(self.begin)), self.lang] = self.beyond
+        return out + self.unseen.astype(np.float32)
+
+    def likelihood(self, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Log likelihood of each window of trigrams, which begin at ``first``, by language."""
+        n = len(self.languages)
+        if n <= DENSE:
+            return np.add.reduceat(self.dense[grams], first, axis=0, dtype=np.float64)
+        size = np.diff(np.append(first, len(grams)))
+        out = size[:, None] * self.unseen
+        of = np.repeat(np.arange(len(first)), size)
+        entries = self.begin[grams + 1] - self.begin[grams]
+        upto = np.cumsum(entries)
+        for p in range(0, len(grams), SPARSE_STEP):
+            e = entries[p : p + SPARSE_STEP]
+            at = np.arange(e.sum()) + np.repeat(self.begin[grams[p : p + SPARSE_STEP]] - (upto[p : p + SPARSE_STEP] - e - (upto[p] - e[0])), e)
+            w = np.repeat(of[p : p + SPARSE_STEP], e)
+            low = int(of[p])
+            some = np.bincount((w - low) * n + self.lang[at], self.beyond[at], (int(of[min(p + SPARSE_STEP, len(of)) - 1]) - low + 1) * n)
+            out[low : low + len(some) // n] += some.reshape(-1, n)
+        return out
+
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -89,35 +123,39 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model of all given documents with a language."""
     df = only(docs, text=text, lang=lang).where("lang IS NOT NULL AND text IS NOT NULL")
-    top = df.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = tuple(sorted(r["lang"] for r in top))
+    rows = {r["lang"]: r["count"] for r in df.groupBy("lang").count().collect()}  # one row a language
+    languages = tuple(sorted(rows))
     if not languages:
-        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
-    rows = {r["lang"]: r["count"] for r in top}
+        return Model((), np.zeros(0), np.zeros(BUCKETS + 1, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
     number = {x: i for i, x in enumerate(languages)}
-    size = len(languages) * BUCKETS
 
     @in_worker
     def count(batches):
-        total = np.zeros(size, np.int64)
+        held = Counts()
+
+        def out():
+            for _, k, n in held.take():
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], names=["k", "n"])
+
         for big in batches:
             for b in bounded(big, BATCH):
-                pairs = [(t, number[x]) for t, x in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True) if x in number]
+                pairs = [(t, number[x]) for t, x in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True)]
                 grams, n = trigrams([t for t, _ in pairs])
                 if len(grams):
-                    keys, counts = np.unique(grams + np.repeat(np.array([i for _, i in pairs]) * BUCKETS, n), return_counts=True)
-                    total[keys] += counts
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 1 << 16):
-            k = at[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(total[k])], names=["k", "n"])
-
-    counted = df.mapInArrow(count, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(size)
-    counts[counted.column("k").to_numpy()] = counted.column("n").to_numpy()
-    counts = counts.reshape(len(languages), BUCKETS).T + SMOOTHING
+                    held.add(None, *np.unique(grams * len(languages) + np.repeat(np.array([i for _, i in pairs]), n), return_counts=True))
+                    if held.many:
+                        yield from out()
+        yield from out()
+
+    counted = df.mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    k, n = counted.column("k").to_numpy(), counted.column("n").to_numpy().astype(float)
+    order = np.argsort(k)
+    k, n = k[order], n[order]
+    bucket, lang = k // len(languages), k % len(languages)
+    total = np.bincount(lang, n, len(languages)) + SMOOTHING * BUCKETS
     prior = np.array([rows[x] for x in languages], float)
-    return Model(languages, np.log(counts / counts.sum(axis=0)).astype(np.float32), np.log(prior / prior.sum()))
+    begin = np.searchsorted(bucket, np.arange(BUCKETS + 1))
+    return Model(languages, np.log(SMOOTHING / total), begin, lang, np.log1p(n / SMOOTHING), np.log(prior / prior.sum()))
 
 
 def em(likelihood: np.ndarray, languages: list[int]) -> tuple[float, np.ndarray]:
@@ -164,7 +202,7 @@ def predict(texts: list[str | None], model: Model) -> list[tuple[str, float, lis
     windows = -(-n // WINDOW)
     first = np.cumsum(windows) - windows
     nth = np.arange(windows.sum()) - np.repeat(first, windows)
-    likelihood = np.add.reduceat(model.log_p[grams], np.repeat(begin, windows) + nth * WINDOW, axis=0, dtype=np.float64)
+    likelihood = model.likelihood(grams, np.repeat(begin, windows) + nth * WINDOW)
     single = np.add.reduceat(likelihood, first, axis=0)
     bound = np.add.reduceat(likelihood.max(axis=1), first)
     posterior = single + model.log_prior

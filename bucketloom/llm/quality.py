@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bucketloom.llm.common import Tables, be_lean, bounded, in_worker, only
+from bucketloom.llm.common import Counts, Tables, be_lean, bounded, in_worker, only
 
 MIN_WORDS, MOST_REPEATED = 50, 50
 #: Bits of a character in an n-gram's code.
@@ -41,8 +41,6 @@ MASK = (1 << BITS) - 1
 EDGE, SPACE, DIGIT = 0, 32, 48
 #: Characters of a block, and the fewest blocks.
 BLOCK, LEAST_BLOCKS = 8 << 20, 12
-#: Distinct n-grams that a task holds before it hands them on.
-HELD = 1 << 20
 #: Cells of a table of pairs of characters; larger alphabets are sorted instead.
 TABLE = 1 << 22
 #: Share of texts beyond a limit that normal tails would give at most, and the limit of languages of under LEAST texts.
@@ -252,38 +250,6 @@ class _Scorer:
         return out
 
 
-class _Counts:
-    """Distinct codes and how often each occurs, by key; handed on when there are many."""
-
-    def __init__(self):
-        self.held: dict = {}
-        self.n = 0
-
-    def add(self, key, code: np.ndarray, n: np.ndarray) -> None:
-        self.held.setdefault(key, []).append((code, n))
-        self.n += len(code)
-        if self.n > HELD:
-            self._merge()
-
-    def _merge(self) -> None:
-        for key, parts in self.held.items():
-            if len(parts) > 1:
-                codes, of = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-                self.held[key] = [(codes, np.bincount(of, np.concatenate([n for _, n in parts])).astype(np.int64))]
-        self.n = sum(len(parts[0][0]) for parts in self.held.values())
-
-    @property
-    def many(self) -> bool:
-        return self.n > HELD // 2
-
-    def take(self):
-        self._merge()
-        for key, parts in self.held.items():
-            for i in range(0, len(parts[0][0]), 1 << 16):
-                yield key, parts[0][0][i : i + (1 << 16)], parts[0][1][i : i + (1 << 16)]
-        self.__init__()
-
-
 def _discounted(t: DataFrame) -> DataFrame:
     """``t`` (name, code, n) with each n-gram's discount d, from how many n-grams occur 1 to 4 times."""
     k = t.groupBy("name").agg(*[F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in range(1, 5)])
@@ -317,7 +283,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Models:
 
     @in_worker
     def count(batches):
-        held = _Counts()
+        held = Counts()
 
         def out():
             for name, code, n in held.take():
@@ -383,7 +349,7 @@ def _scored(df: DataFrame, models: Models) -> DataFrame:
 
     @in_worker
     def wanted(batches):
-        held = _Counts()
+        held = Counts()
 
         def out():
             for (size, block), code, _ in held.take():

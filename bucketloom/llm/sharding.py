@@ -1,7 +1,7 @@
 """Operator 2: sharding by histogram sort, in DataFrame operations only.
 
-Rows are ordered by a 63-bit key: the text's CRC-32, so that equal texts lie side by side, and below it 31 bits of
-a hash of the doc_id, so that a group of copies of any size can be cut. Splitters of the shards, and within the shards
+Rows are ordered by a 63-bit key: the text's CRC-32, so that equal texts lie side by side, and below it 16 bits of
+a hash of the doc_id and 15 bits of a hash of the row's number, so that a group of copies of any size, and rows repeated in full, can be cut. Splitters of the shards, and within the shards
 of parts of about PART_ROWS rows, are searched for as in histogram sort: a round counts the exact bytes and rows
 below all candidate boundaries in one aggregation over all partitions, first at 2**FIRST_BITS even boundaries, then
 at finer ones inside the intervals that splitters fall into, until each interval holds less than the tolerance or is a
@@ -11,15 +11,16 @@ The law is ``bytes``: shard sizes are near equal. A splitter misses its target b
 where a row or rows of one key are larger than that, by half of those.
 
 Defined results: null text has no bytes (size 1, CRC-32 0); a null doc_id hashes as a missing value; rows repeated
-with one doc_id and text share a key and stay together. An empty table gives an empty result. Other columns, of any
+with one doc_id and text lie side by side and may be cut like other copies. An empty table gives an empty result. Other columns, of any
 name, are ignored.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bucketloom.llm.common import Tables, only
@@ -37,7 +38,18 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     df = only(docs, doc_id=doc_id, text=text)
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     out = df.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), crc.alias("text_crc32"))
-    return out.withColumn("key", F.shiftleft("text_crc32", 31).bitwiseOR(F.shiftrightunsigned(F.xxhash64("doc_id"), 33)))
+    below = F.shiftleft(F.shiftrightunsigned(F.xxhash64("doc_id"), 48), 15).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 49))
+    return out.withColumn("key", F.shiftleft("text_crc32", 31).bitwiseOR(below))
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows known on the driver, as one literal: no Python or RDD is in the plan."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows_as_structs(rows, schema))), f"array<struct<{schema}>>")))
+
+
+def rows_as_structs(rows: list[tuple], schema: str) -> list[dict]:
+    names = [x.split(":")[0].strip() for x in schema.split(", ")]
+    return [dict(zip(names, r, strict=True)) for r in rows]
 
 
 @dataclass
@@ -73,7 +85,7 @@ def find_splitters(rows: DataFrame, splitters: list[Splitter]) -> None:
         fine = bits - step
         counted = rows
         if not first:
-            wanted = spark.createDataFrame([(c,) for c in sorted(cells)], "cell long")
+            wanted = small_table(spark, [(c,) for c in sorted(cells)], "cell: long")
             counted = rows.withColumn("cell", F.shiftright("key", bits)).join(F.broadcast(wanted), "cell", "left_semi")
         got = counted.groupBy(F.shiftright("key", fine).alias("at")).agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()
         by_cell: dict[int, list[tuple[int, int, int]]] = {}
@@ -117,9 +129,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, shard_tolerance: float = SHARD_
         own = inside.get(c, [])
         cells.append((c, before, own))
         before += len(own)
-    lookup = spark.createDataFrame(cells, "cell long, base int, edges array<long>")
+    lookup = small_table(spark, cells, "cell: long, base: int, edges: array<long>")
     starts = [0] + [n for _, _, n in edges] if edges else [0] * count
-    of = spark.createDataFrame([(k, k // parts, starts[k] - starts[k // parts * parts]) for k in range(count)], "part int, shard int, first long")
+    of = small_table(spark, [(k, k // parts, starts[k] - starts[k // parts * parts]) for k in range(count)], "part: int, shard: int, first: long")
     placed = rows.withColumn("cell", F.shiftright("key", shift)).join(F.broadcast(lookup), "cell")
     part = F.col("base") + F.size(F.filter("edges", lambda e: e <= F.col("key")))
     placed = placed.select("doc_id", "size", "text_crc32", "key", part.alias("part"))

@@ -1,7 +1,8 @@
 """Operator 10: URL filter with host/path rules and a weighted vocabulary found by an Aho-Corasick automaton.
 
 A page's url is judged by the longest fitting rule; where none fits, by its words. Strict terms block alone,
-soft terms only when several distinct ones appear. A term counts when no ASCII letter or digit touches it.
+soft terms only when SOFT_LEAST distinct ones or more appear whose weights together reach the filter's threshold. A term counts when no ASCII letter or digit touches it.
+The vocabulary in this file is a small default; ``read_vocabulary`` reads one of any size from lines of term, class and weight.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule, holds no term
 and is allowed. Repeated rows give repeated results. An empty table gives an empty result. Other columns, of
@@ -14,12 +15,13 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from bucketloom.llm.common import map_batches, only
 
 STRICT = ("adult", "casino", "escort", "gambling", "malware", "phishing", "porn", "sex", "spam", "viagra", "warez", "xxx")
 SOFT = ("ads", "bet", "bets", "bonus", "cheap", "clicks", "coupon", "dating", "deal", "farm", "free", "loan", "pills", "poker", "promo", "slots", "track", "tracker", "win")
+SOFT_LEAST = 2
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _WORD = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
@@ -51,11 +53,33 @@ class UrlFilter:
     rules: tuple[Rule, ...] = RULES
     strict: tuple[str, ...] = STRICT
     soft: tuple[str, ...] = SOFT
-    #: So many distinct soft terms block.
-    soft_least: int = 2
+    #: Weights of soft terms other than 1, and the weight from which distinct soft terms block.
+    weights: tuple[tuple[str, int], ...] = ()
+    soft_weight: int = 2
+    #: So many distinct soft terms at least.
+    soft_least: int = SOFT_LEAST
     columns: dict[str, str] = field(default_factory=lambda: {"page_id": "page_id", "url": "url"})
 
 
+def read_vocabulary(spark: SparkSession, path: str) -> tuple[tuple[str, ...], tuple[str, ...], tuple[tuple[str, int], ...]]:
+    """Strict terms, soft terms and soft weights from lines ``term<TAB>strict|soft<TAB>weight`` (no weight: 1); blank lines and lines that begin with # don't count.
+
+    A vocabulary is a curated list, whose size doesn't depend on the data; it is read by Spark, from wherever Spark can read.
+    """
+    strict, soft, weights = [], [], []
+    for (line,) in spark.read.text(path).collect():
+        if not line.strip() or line.startswith("#"):
+            continue
+        term, kind, *rest = line.split("\t")
+        term, weight = term.strip().translate(_LOWER), int(rest[0]) if rest else 1
+        if not term or kind not in ("strict", "soft") or weight < 1:
+            raise ValueError(f"not a line of a vocabulary: {line!r}")
+        (strict if kind == "strict" else soft).append(term)
+        if kind == "soft" and weight != 1:
+            weights.append((term, weight))
+    return tuple(strict), tuple(soft), tuple(weights)
+
+
 def split_url(url: str | None) -> tuple[str, str]:
     if url is None:
         return "", ""
@@ -79,6 +103,8 @@ class Judge:
         self.spec = spec
         self.terms = [*dict.fromkeys(t.lower() for t in (*spec.strict, *spec.soft))]
         self.strict = {i for i, t in enumerate(self.terms) if t in {s.lower() for s in spec.strict}}
+        given = dict(spec.weights)
+        self.weight = [given.get(t, 1) for t in self.terms]
         self.machine = ahocorasick.Automaton()
         for i, t in enumerate(self.terms):
             self.machine.add_word(t, i)
@@ -100,8 +126,8 @@ class Judge:
             _, _, name = name.partition(".")
         return best
 
-    def hits(self, host: str, path: str) -> tuple[int, int]:
-        """How often strict terms occur, and how many distinct soft ones do."""
+    def hits(self, host: str, path: str) -> tuple[int, int, int]:
+        """How often strict terms occur, how many distinct soft ones do, and these ones' weight."""
         s = (host + path).translate(_LOWER)
         strict, soft = 0, set()
         if self.terms:
@@ -113,13 +139,13 @@ class Judge:
                     strict += 1
                 else:
                     soft.add(i)
-        return strict, len(soft)
+        return strict, len(soft), sum(self.weight[i] for i in soft)
 
     def __call__(self, url: str | None) -> tuple[str, str, str | None, str, int, int]:
         host, path = split_url(url)
         r = self.rule(host, path)
-        strict, soft = self.hits(host, path)
-        words = "block" if strict or soft >= self.spec.soft_least else "allow"
+        strict, soft, weight = self.hits(host, path)
+        words = "block" if strict or soft >= self.spec.soft_least and weight >= self.spec.soft_weight else "allow"
         return host, path, r.name if r else None, r.verdict if r else words, strict, soft
 
 
@@ -151,6 +177,8 @@ def oracle(spec: UrlFilter = UrlFilter()) -> str:
     count = lambda t: f"len(regexp_extract_all(regexp_replace(hp, '([^a-z0-9])', '\\1\\1', 'g'), '(^|[^a-z0-9]){t}($|[^a-z0-9])'))"
     strict = " + ".join(count(t) for t in spec.strict) or "0"
     soft = " + ".join(f"({has(t)})::INT" for t in spec.soft) or "0"
+    given = dict(spec.weights)
+    weight = " + ".join(f"{given.get(t, 1)} * ({has(t)})::INT" for t in spec.soft) or "0"
     rules = ", ".join(f"('{r.host}', '{r.path}', '{r.name}', '{r.verdict}')" for r in spec.rules)
     return f"""
 WITH u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest,
@@ -161,8 +189,8 @@ r(rhost, rpath, rname, rverdict) AS (VALUES {rules}),
 m AS (SELECT rid, arg_max(rname, length(rname)) AS rule, arg_max(rverdict, length(rname)) AS rverdict
       FROM h JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY rid),
 t AS (SELECT *, translate(host || path, '{up}', '{low}') AS hp FROM h),
-c AS (SELECT *, ({strict})::BIGINT AS strict_hits, ({soft})::BIGINT AS soft_terms FROM t)
+c AS (SELECT *, ({strict})::BIGINT AS strict_hits, ({soft})::BIGINT AS soft_terms, {weight} AS soft_weight FROM t)
 SELECT page_id, host, path, rule,
-       coalesce(rverdict, CASE WHEN strict_hits > 0 OR soft_terms >= {spec.soft_least} THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(rverdict, CASE WHEN strict_hits > 0 OR soft_terms >= {spec.soft_least} AND soft_weight >= {spec.soft_weight} THEN 'block' ELSE 'allow' END) AS verdict,
        strict_hits, soft_terms
 FROM c LEFT JOIN m USING (rid)"""

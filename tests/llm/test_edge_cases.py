@@ -142,6 +142,17 @@ def test_shards_are_near_equal_with_a_hot_group(spark):
     assert max(size.values()) - min(size.values()) <= 2 * 64
 
 
+def test_shards_cut_a_row_repeated_to_half_of_the_bytes(spark):
+    texts = [(7, "same text of some length")] * 4000 + [(100 + i, f"{i} " + "y" * (i % 50)) for i in range(3500)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    got = sharding.shard(df).collect()
+    size = Counter()
+    for r in got:
+        size[r.shard] += r.size
+    assert len(size) == 8 and max(size.values()) - min(size.values()) <= 2 * 64
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got))) for s in range(8))
+
+
 def test_lines(docs, none):
     got = line_dedup.without_repeats(docs).collect()
     assert Counter((r.doc_id, r.text) for r in got) == brute_lines(ids_and_texts())
@@ -179,6 +190,22 @@ def test_languages(spark, docs, none):
     assert language_id.keep_identified(docs, m).schema == docs.schema
 
 
+def test_any_number_of_languages_is_learned_and_scored_alike(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    vocab = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 4)) for _ in range(30)] for _ in range(90)]
+    texts = [(k, " ".join(rng.choice(vocab[k], 60))) for k in range(90) for _ in range(3)]
+    m = language_id.learn(spark.createDataFrame([(t, f"l{k:02d}") for k, t in texts], "text string, lang string"))
+    assert len(m.languages) == 90
+    mixed = [t for _, t in texts] + [texts[0][1] + " " + texts[30][1], None, "x"]
+    for step in (language_id.SPARSE_STEP, 7):
+        monkeypatch.setattr(language_id, "SPARSE_STEP", step)
+        sparse = language_id.predict(mixed, m)
+        assert all(x[0] == f"l{k:02d}" for x, (k, _) in zip(sparse, texts, strict=False)) and set(sparse[-3][2]) == {"l00", "l10"}
+    monkeypatch.setattr(language_id, "DENSE", 100)
+    dense = language_id.predict(mixed, m)
+    assert [x[0] for x in dense] == [x[0] for x in sparse] and np.allclose([x[1] for x in dense], [x[1] for x in sparse], atol=1e-3)
+
+
 def test_packing(docs, none):
     t = Tokenizer.from_file(WORD)
     got = packing.pack(docs, WORD).collect()
@@ -354,6 +381,23 @@ def test_urls(spark):
     assert url_filter.judge_urls(df.where("false")).count() == 0
 
 
+def test_vocabularies_are_read_with_weights(spark, tmp_path):
+    (tmp_path / "v.txt").write_text("# terms\nBad\tstrict\nfree\tsoft\nwin\tsoft\t2\n\nbet\tsoft\n")
+    strict, soft, weights = url_filter.read_vocabulary(spark, str(tmp_path / "v.txt"))
+    assert strict == ("bad",) and soft == ("free", "win", "bet") and weights == (("win", 2),)
+    spec = url_filter.UrlFilter(strict=strict, soft=soft, weights=weights, soft_weight=3)
+    df = spark.createDataFrame([(1, "http://a.org/bad"), (2, "http://a.org/free/bet"), (3, "http://a.org/free/win"), (4, "http://a.org/win/win"), (5, "http://a.org/freewin")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(df, spec).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "allow", 5: "allow"}
+    import duckdb
+
+    pages = df.toPandas()  # noqa: F841
+    assert {r[0]: r[4] for r in duckdb.sql(url_filter.oracle(spec)).fetchall()} == got
+    (tmp_path / "w.txt").write_text("x\tmaybe\n")
+    with pytest.raises(ValueError):
+        url_filter.read_vocabulary(spark, str(tmp_path / "w.txt"))
+
+
 def test_models_keep_every_character_and_language(spark):
     letters = [chr(0x4E00 + i) for i in range(300)]
     rng = np.random.default_rng(5)
