@@ -8,6 +8,7 @@ import functools
 import io
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -26,12 +27,19 @@ SALT_ROWS = 128
 #: Distinct codes that a task counts before it hands them on.
 HELD = 1 << 20
 
+#: Rows of a batch between the JVM and Python.
+ARROW_ROWS = 2000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for clusters where it isn't installed."""
+    """Send this package to the executors once per application, for clusters where it isn't installed; and Arrow batches of whole texts
+    shall have ARROW_ROWS rows, where the session leaves Spark's default."""
     sc = spark.sparkContext
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, str(ARROW_ROWS))
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -51,7 +59,12 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+#: Seconds after which a worker without a task lets its tables go.
+IDLE = 2.0
+
 _kept: dict[str, object] = {}
+_running = 0
+_turn = 0
 _lean = False
 
 
@@ -83,20 +96,32 @@ def kept(make: Callable[[], object], name: str):
     return _kept[name]
 
 
+def _let_go(turn: int) -> None:
+    if turn == _turn and not _running:
+        _kept.clear()
+        _trim()
+
+
 def in_worker(run):
-    """Wraps a function of Arrow batches: workers are reused by all operators, so each keeps tables of one module at a time."""
+    """Wraps a function of Arrow batches. Workers are reused by all operators, so each keeps tables of one module at a time, and none while it has no task."""
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        global _running, _turn
         be_lean()
+        _running += 1
+        _turn += 1
         if _kept.get("") != run.__module__:
             _kept.clear()
             _kept[""] = run.__module__
-            _trim()
         try:
             yield from run(batches)
         finally:
+            _running -= 1
             _trim()
+            later = threading.Timer(IDLE, _let_go, (_turn,))
+            later.daemon = True
+            later.start()
 
     return wrapped
 
