@@ -451,7 +451,7 @@ class _Open:
 
     def __init__(self, b: pa.RecordBatch | None = None):
         if b is not None:
-            self.cols = {c: b.column(c).to_numpy() for c in ("key", "lo", "hi", "own", "n", "node", "component")}
+            self.cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "lo", "hi", "own", "n", "node", "component", "heavy")}
             self.cols["low"] = np.stack([b.column(f"low{i}").to_numpy() for i in range(LOW_KEYS)], 1)
             short = b.column("short").to_pylist()
             self.cols["has"] = np.array([len(x) > 0 for x in short], bool)
@@ -505,7 +505,9 @@ class _Open:
             most = np.minimum(n[i], (both - differ) // 2)
             ok = ~(self.has[i] & self.has[j]) | (LINK[1] * most >= LINK[0] * (both - most))
             i, j = i[ok], j[ok]
-            lesser = (self.low[i][:, :, None] == self.low[j][:, None, :]) & (self.low[i] < self.key[i][:, None])[:, :, None]
+            # Two heavy classes aren't compared by a combination, so a lesser one that both have doesn't count.
+            counts = (self.low[i] < self.key[i][:, None]) & ~((self.heavy[i] & self.heavy[j])[:, None] & (self.low[i] & 1 == 1))
+            lesser = (self.low[i][:, :, None] == self.low[j][:, None, :]) & counts[:, :, None]
             ok = ~lesser.any((1, 2))
             x, y = self.node[i[ok]], self.node[j[ok]]
             yield _distinct(np.minimum(x, y), np.maximum(x, y))
@@ -535,17 +537,17 @@ def _open_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b: distinct pairs of open buckets across components that may link.
 
     A bucket's light and heavy classes are dealt out in blocks of about OPEN_BLOCK; each two blocks that aren't both heavy, and each light one with itself, meet in a cell of
-    bounded size. A pair is left to a lesser key only where both classes' LOW_KEYS least keys have it, so none is lost; heavy classes' combinations don't count among these.
+    bounded size. A pair is left to a lesser key only where both classes' LOW_KEYS least keys have it, so none is lost; a combination that two heavy classes share doesn't count.
     """
-    low = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.when(~F.col("heavy"), F.col("key")))), 1, LOW_KEYS).alias("low"))
+    low = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LOW_KEYS).alias("low"))
     none = F.lit(2**63 - 1)
     low = low.select("node", *[F.coalesce(F.get("low", F.lit(i)), none).alias(f"low{i}") for i in range(LOW_KEYS)])
-    carried = classes.select("node", "short").hint("merge").join(low, "node")
+    carried = classes.select("node", "short", F.col("heavy").alias("weight")).hint("merge").join(low, "node")
     light, heavy = (F.ceil(F.col(c) / OPEN_BLOCK).cast("int") for c in ("light_rows", "heavy_rows"))
     at = F.xxhash64("node")
     wide = rows.hint("merge").join(carried, "node").withColumn("own", F.when(F.col("heavy"), light + F.pmod(at, heavy)).otherwise(F.pmod(at, light)).cast("int"))
     wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("heavy"), light).otherwise(light + heavy) - 1)))
-    wide = wide.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "n", "node", "component", "short", *[f"low{i}" for i in range(LOW_KEYS)])
+    wide = wide.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "n", "node", "component", F.col("weight").alias("heavy"), "short", *[f"low{i}" for i in range(LOW_KEYS)])
     return wide.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "n", "node").mapInArrow(_compare_open, "a long, b long").distinct()
 
 
