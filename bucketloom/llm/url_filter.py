@@ -1,7 +1,8 @@
 """Operator 10: URL filter with host/path rules and a weighted vocabulary found by an Aho-Corasick automaton.
 
 A page's url is judged by the longest fitting rule; where none fits, by its words. Strict terms block alone,
-soft terms only when SOFT_LEAST distinct ones or more appear whose weights together reach the filter's threshold. A term counts when no ASCII letter or digit touches it.
+soft terms only when SOFT_LEAST distinct ones or more appear whose weights together reach the filter's threshold. All of the url after
+``://`` is scanned, query and fragment too. A term counts when no ASCII letter or digit touches it.
 The vocabulary in this file is a small default; ``read_vocabulary`` reads one of any size from lines of term, class and weight.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule, holds no term
@@ -80,20 +81,18 @@ def read_vocabulary(spark: SparkSession, path: str) -> tuple[tuple[str, ...], tu
     return tuple(strict), tuple(soft), tuple(weights)
 
 
-def split_url(url: str | None) -> tuple[str, str]:
-    if url is None:
-        return "", ""
-    _, mark, rest = url.partition("://")
+def split_url(url: str | None) -> tuple[str, str, str]:
+    """Host, path, and the whole text after the scheme."""
+    _, mark, rest = (url or "").partition("://")
     if not mark:
-        return "", ""
+        return "", "", ""
     cut = len(rest)
     for c in "?#":
         i = rest.find(c)
         if 0 <= i < cut:
             cut = i
-    rest = rest[:cut]
-    host, slash, tail = rest.partition("/")
-    return host.translate(_LOWER), slash + tail
+    host, slash, tail = rest[:cut].partition("/")
+    return host.translate(_LOWER), slash + tail, rest
 
 
 class Judge:
@@ -126,9 +125,9 @@ class Judge:
             _, _, name = name.partition(".")
         return best
 
-    def hits(self, host: str, path: str) -> tuple[int, int, int]:
+    def hits(self, rest: str) -> tuple[int, int, int]:
         """How often strict terms occur, how many distinct soft ones do, and these ones' weight."""
-        s = (host + path).translate(_LOWER)
+        s = rest.translate(_LOWER)
         strict, soft = 0, set()
         if self.terms:
             for end, i in self.machine.iter(s):
@@ -142,9 +141,9 @@ class Judge:
         return strict, len(soft), sum(self.weight[i] for i in soft)
 
     def __call__(self, url: str | None) -> tuple[str, str, str | None, str, int, int]:
-        host, path = split_url(url)
+        host, path, rest = split_url(url)
         r = self.rule(host, path)
-        strict, soft, weight = self.hits(host, path)
+        strict, soft, weight = self.hits(rest)
         words = "block" if strict or soft >= self.spec.soft_least and weight >= self.spec.soft_weight else "allow"
         return host, path, r.name if r else None, r.verdict if r else words, strict, soft
 
@@ -172,9 +171,9 @@ def judge_urls(pages: DataFrame, spec: UrlFilter = UrlFilter()) -> DataFrame:
 def oracle(spec: UrlFilter = UrlFilter()) -> str:
     """The same in DuckDB's SQL."""
     up, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    has = lambda t: f"regexp_matches(hp, '(^|[^a-z0-9]){t}($|[^a-z0-9])')"
+    has = lambda t: f"regexp_matches(low, '(^|[^a-z0-9]){t}($|[^a-z0-9])')"
     # Boundaries may be shared by neighbours, so each boundary is doubled before occurrences are counted.
-    count = lambda t: f"len(regexp_extract_all(regexp_replace(hp, '([^a-z0-9])', '\\1\\1', 'g'), '(^|[^a-z0-9]){t}($|[^a-z0-9])'))"
+    count = lambda t: f"len(regexp_extract_all(regexp_replace(low, '([^a-z0-9])', '\\1\\1', 'g'), '(^|[^a-z0-9]){t}($|[^a-z0-9])'))"
     strict = " + ".join(count(t) for t in spec.strict) or "0"
     soft = " + ".join(f"({has(t)})::INT" for t in spec.soft) or "0"
     given = dict(spec.weights)
@@ -183,12 +182,12 @@ def oracle(spec: UrlFilter = UrlFilter()) -> str:
     return f"""
 WITH u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest,
                   row_number() OVER () AS rid FROM pages),
-h AS (SELECT page_id, rid, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{up}', '{low}') AS host,
+h AS (SELECT page_id, rid, rest, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{up}', '{low}') AS host,
              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 r(rhost, rpath, rname, rverdict) AS (VALUES {rules}),
 m AS (SELECT rid, arg_max(rname, length(rname)) AS rule, arg_max(rverdict, length(rname)) AS rverdict
       FROM h JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY rid),
-t AS (SELECT *, translate(host || path, '{up}', '{low}') AS hp FROM h),
+t AS (SELECT *, translate(rest, '{up}', '{low}') AS low FROM h),
 c AS (SELECT *, ({strict})::BIGINT AS strict_hits, ({soft})::BIGINT AS soft_terms, {weight} AS soft_weight FROM t)
 SELECT page_id, host, path, rule,
        coalesce(rverdict, CASE WHEN strict_hits > 0 OR soft_terms >= {spec.soft_least} AND soft_weight >= {spec.soft_weight} THEN 'block' ELSE 'allow' END) AS verdict,

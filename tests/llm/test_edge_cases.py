@@ -372,6 +372,8 @@ def test_urls(spark):
         (1, "http://x.com", "com", "allow"), (2, "HTTP://WWW.Example.COM/en/a?b#c", "www.example.com/en/", "allow"), (3, "http://m.example.com/en/", "example.com/en/", "block"),
         (4, "https://a.net/es/1", "net/es/", "block"), (5, "https://casino-win.org/", None, "block"), (6, "https://casinos.org/", None, "allow"), (7, "http://free.org/bets", None, "block"),
         (8, "http://free-free.org/", None, "allow"), (9, None, None, "allow"), (10, "no scheme adult", None, "allow"), (11, "http://net/fr/", "net/fr/", "block"), (12, "http://botnet/fr/", None, "allow"), (13, "", None, "allow"),
+        (14, "http://x.org/s?q=PORN", None, "block"), (15, "http://x.org/#casino", None, "block"), (16, "http://x.org?free#bet", None, "block"), (17, "http://x.org/?q=popcorn&ad=free", None, "allow"),
+        (18, "http://x.com/?q=porn", "com/", "allow"), (19, "http://y.org/" + "a/" * 200_000 + "?xxx", None, "block"), (20, "http://y.org/" + "a/" * 200_000, None, "allow"),
     ]
     df = spark.createDataFrame([(i, u, "h", "p", "r") for i, u, _, _ in data], "page_id long, url string, host string, path string, rule string")
     got = {r.page_id: r for r in url_filter.judge_urls(df).collect()}
@@ -379,6 +381,10 @@ def test_urls(spark):
         assert got[i].verdict == verdict and (got[i].rule == rule or i == 1), i
     assert (got[2].host, got[2].path) == ("www.example.com", "/en/a") and got[1].rule is None and got[9].host == got[9].path == ""
     assert url_filter.judge_urls(df.where("false")).count() == 0
+    import duckdb
+
+    pages = df.toPandas()  # noqa: F841
+    assert Counter(duckdb.sql(url_filter.oracle()).fetchall()) == Counter(map(tuple, got.values()))
 
 
 def test_vocabularies_are_read_with_weights(spark, tmp_path):
