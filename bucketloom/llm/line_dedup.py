@@ -1,13 +1,21 @@
 """Operator 3: repeated passages of lines, by winnowing over line hashes.
 
-A text is its \\n-split lines; lines without a word don't count and stay. A window is the shortest run of lines from one line on, or up to
-one, that has MIN_WORDS words. Each window selects its least line hash as its fingerprint, so two texts that share a run
-of MIN_WORDS words in whole lines are sure to share a fingerprint. Fingerprints found at one place only are dropped; the
-windows of the others are joined by their content. Every window found again after its first place (by doc_id, then position) is a
-match; windows reaching forwards and backwards extend a match both ways to the whole run of equal lines, since each
-line of a run of MIN_WORDS words lies in a window inside the run. Lines of matches after the first place are deleted.
-
-Fingerprints and windows are counted before they are joined, and hot ones are joined by a broadcast of bounded size; no
+A text is its \n-split lines; lines without a word don't count and stay. A window is the shortest run of lines from one line on, or up to
+one, that has MIN_WORDS words. Each window selects its leftmost least line hash; the selected places are the text's fingerprints, so two
+texts that share a run of MIN_WORDS words in whole lines are sure to share a fingerprint inside it. One row is made for each selected place,
+not for each window. Places are counted by line hash, and those whose line was selected nowhere else are dropped.
+
+What is left is joined: a place with the first place (by doc_id, then position) that has an equal stretch around the same fingerprint. As
+fingerprints of one line can stand in many contexts, the join's key is the hash of the stretch, one for each window that selected the place;
+so every place meets one partner a window, and a group of n places costs n rows, not n * n. The stretches around a place reach both ways from it,
+as far as its windows do; where the equal lines go on, the next selected place's stretches take over, since a run of equal lines is covered by the windows inside
+it. So the union of the stretches is the match extended both ways to the whole run. Lines of matches after the first place are deleted.
+
+Overlaps: where a match overlaps its partner in the same text, the partner's window stays whole and only lines beyond it go. So of equal lines in
+a row as many stay as make up MIN_WORDS words, and every repeated run of MIN_WORDS words keeps its first occurrence, unless that is itself
+part of another run's later copy.
+
+Fingerprints and stretches are counted before they are joined, and hot ones are joined by a broadcast of bounded size; no
 pairs within a group are made.
 
 Defined results: null text has no lines and stays null. A line alone is a window if it has MIN_WORDS words. Within one text later repeats go as well.
@@ -52,47 +60,62 @@ def windows(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def _found(docs: DataFrame, least: int) -> DataFrame:
-    """doc_id, row_hash, content, fingerprint, first, last of all windows."""
+def selected(h: np.ndarray, words: np.ndarray, least: int) -> dict[int, list[tuple[int, int]]]:
+    """The selected places of a text: the leftmost least hash of each window, with the windows (first, last) that select it."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    begin, end = windows(words, least)
+    for p, q in zip(begin.tolist(), end.tolist(), strict=True):
+        out.setdefault(p + int(h[p:q].argmin()), []).append((p, q - 1))
+    return out
+
+
+def _places(docs: DataFrame, least: int) -> DataFrame:
+    """doc_id, row_hash, mark, around: a row for each selected place; around has the stretches (content, first, last) of its windows."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    around = pa.list_(pa.struct([("content", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
 
     @in_worker
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in bounded(big, BATCH):
-                at, content, mark, first, last = [], [], [], [], []
+                at, mark, sizes, content, first, last = [], [], [0], [], [], []
                 for i, text in enumerate(b.column("text").to_pylist()):
                     lines = lines_of(text)
                     if not lines:
                         continue
                     h = np.array([xxhash.xxh3_64_intdigest(x) for _, x, _ in lines], np.uint64)
-                    begin, end = windows(np.array([n for _, _, n in lines], np.int64), least)
-                    for p, q in zip(begin.tolist(), end.tolist(), strict=True):
+                    for place, found in selected(h, np.array([n for _, _, n in lines], np.int64), least).items():
                         at.append(i)
-                        content.append(xxhash.xxh3_64_intdigest(h[p:q].tobytes(), 1))
-                        mark.append(int(h[p:q].min()))
-                        first.append(p)
-                        last.append(q - 1)
+                        mark.append(int(h[place]))
+                        for p, q in found:
+                            content.append(xxhash.xxh3_64_intdigest(h[p : q + 1].tobytes(), 1))
+                            first.append(p)
+                            last.append(q)
+                        sizes.append(len(content))
                 if at:
                     rows = b.select(["doc_id", "row_hash"]).take(pa.array(at))
-                    cols = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (content, mark)] + [pa.array(x, pa.int32()) for x in (first, last)]
-                    yield pa.RecordBatch.from_arrays([*rows.columns, *cols], names=["doc_id", "row_hash", "content", "mark", "first", "last"])
+                    longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (content, mark)]
+                    spans = pa.StructArray.from_arrays([longs[0], pa.array(first, pa.int32()), pa.array(last, pa.int32())], fields=list(around.value_type))
+                    yield pa.RecordBatch.from_arrays([*rows.columns, longs[1], pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), spans)], names=["doc_id", "row_hash", "mark", "around"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, row_hash long, content long, mark long, first int, last int")
+    return docs.mapInArrow(run, f"doc_id {kind}, row_hash long, mark long, around array<struct<content: long, first: int, last: int>>")
 
 
 def repeats(docs: DataFrame, tables: Tables, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, row_hash, runs: of each text with repeats, the lines (among those with words) to delete, as (first, last)."""
-    seen = tables.cut(_found(docs, least))
-    total = seen.count()
-    # A fingerprint of one window only can't be a match.
-    marks = seen.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1")
-    windows = join_unique(seen, marks, "mark", "n", total, ["row_hash", "first", "last"]).where("n IS NOT NULL").drop("n")
-    windows = tables.cut(windows)
-    place = F.struct("doc_id", "row_hash", "first")
-    firsts = windows.groupBy("content").agg(F.min(place).alias("place"), F.count("*").alias("n")).where("n > 1")
-    matches = join_unique(windows, firsts, "content", "n", windows.count(), ["row_hash", "first", "last"]).where("place IS NOT NULL")
-    later = matches.where(~place.eqNullSafe(F.col("place")))
+    places = tables.cut(_places(docs, least))
+    # A fingerprint selected at one place only can't be a match.
+    marks = places.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1")
+    shared = join_unique(places, marks, "mark", "n", places.count(), ["row_hash", "around"]).where("n IS NOT NULL")
+    stretches = tables.cut(shared.select("doc_id", "row_hash", F.inline("around")))
+    place = F.struct("doc_id", "row_hash", "first", "last")
+    firsts = stretches.groupBy("content").agg(F.min(place).alias("partner"), F.count("*").alias("n")).where("n > 1")
+    matches = join_unique(stretches, firsts, "content", "n", stretches.count(), ["row_hash", "first", "last"]).where("partner IS NOT NULL")
+    p = F.col("partner")
+    own = F.col("doc_id").eqNullSafe(p["doc_id"]) & (F.col("row_hash") == p["row_hash"])
+    later = matches.where(~(own & (F.col("first") == p["first"])))
+    # In the partner's own text the partner's window stays whole.
+    later = later.withColumn("first", F.when(own, F.greatest("first", p["last"] + 1)).otherwise(F.col("first")))
     return later.groupBy("doc_id", "row_hash").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
 
 

@@ -86,7 +86,8 @@ def brute_lines(pairs, least=50):
                     if n >= least:
                         at = first.setdefault(tuple(x for _, x in ls[p : q + 1]), (doc, t, p))
                         if delete and at != (doc, t, p):
-                            drop |= {ls[i][0] for i in range(p, q + 1)}
+                            own = range(at[2], at[2] + q - p + 1) if at[:2] == (doc, t) else ()
+                            drop |= {ls[i][0] for i in range(p, q + 1) if i not in own}
             out[doc, t] = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop)
     return Counter((doc, None if t is None else out[doc, t]) for doc, t in pairs)
 
@@ -159,6 +160,31 @@ def test_lines(docs, none):
     assert line_dedup.without_repeats(none).count() == 0
 
 
+def test_lines_that_overlap_their_first_place(spark):
+    line = " ".join(f"x{i}" for i in range(30))
+    other = line.replace("x", "y")
+    texts = ["\n".join([line] * 3), "\n".join([other] * 10), "\n".join([line, other] * 4), "head\n" + "\n".join([other] * 3)]
+    got = line_dedup.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == {0: "\n".join([line] * 2), 1: "\n".join([other] * 2), 2: "\n".join([line, other]), 3: "head"}
+    assert Counter((r.doc_id, r.text) for r in got) == brute_lines(list(enumerate(texts)))
+    rng = np.random.default_rng(11)
+    kinds = [" ".join(["ab"[k % 2]] * (1 + k % 3)) + f" {k}" for k in range(5)] + ["", " "]
+    many = [(i, "\n".join(kinds[k] for k in rng.integers(0, len(kinds) if i % 3 else 3, rng.integers(0, 12)))) for i in range(120)]
+    df = spark.createDataFrame(many, "doc_id long, text string").repartition(7)
+    for least in (4, 9, 16):
+        assert Counter((r.doc_id, r.text) for r in line_dedup.without_repeats(df, least).collect()) == brute_lines(many, least)
+
+
+def test_one_row_for_each_selected_place(spark):
+    lines = [" ".join(f"{chr(97 + k % 26)}{k}-{j}" for j in range(6)) for k in range(400)]
+    df = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string").selectExpr("*", "xxhash64(doc_id, text) AS row_hash")
+    rows_ = line_dedup._places(df, 50).collect()
+    spans = {(a.first, a.last) for r in rows_ for a in r.around}
+    begin, end = line_dedup.windows(np.full(400, 6), 50)
+    assert spans == set(zip(begin.tolist(), (end - 1).tolist(), strict=True)) and len(rows_) < len(spans) / 3
+    assert not line_dedup.repeats(df, line_dedup.Tables(spark)).count()
+
+
 def test_encoding(docs, none):
     t = Tokenizer.from_file(BYTE)
     expect = Counter()
