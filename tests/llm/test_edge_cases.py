@@ -1,6 +1,7 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and columns with clashing names."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -292,6 +293,46 @@ def test_near_duplicates_of_varied_edits_with_frequent_shingles(spark, monkeypat
     assert len({r.component_id for r in got}) < len(got)
 
 
+def test_exact_of_texts_in_pieces(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    base = " ".join(f"w{i % 7919}x{i}" for i in range(300_000))
+    assert len(base) > 10 * exact_dedup.PIECE
+    at = exact_dedup.PIECE
+    texts = [base, base.replace(" ", "\n\t ", 60_000), base[:at] + ("  " if base[at - 1] == " " else "") + base[at:], base[:-1] + "#", base, "short", base + " ", base + " \n", None]
+    pairs = [*enumerate(texts), (0, base), (0, base), (None, base)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(3)
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "").encode()
+    groups = defaultdict(list)
+    for d, t in pairs:
+        groups[norm(t)].append(d)
+
+    def check(got):
+        assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == Counter((d, min(x for x in groups[norm(t)] if x is not None), len(groups[norm(t)]), hashlib.sha256(norm(t)).hexdigest()) for d, t in pairs)
+        assert Counter(r.text_sha256 for r in got if r.kept) == Counter(hashlib.sha256(t).hexdigest() for t in groups) and all(r.doc_id == r.keep_id for r in got if r.kept)
+
+    check(exact_dedup.exact_groups(df).collect())
+    # Small exchanges are merged into one task; with that off, the pieces of one text lie in several.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tasks = exact_dedup.pieces(df).repartition("rid", "pos").where("doc_id = 3").select(F.spark_partition_id()).distinct().count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1
+    rng = np.random.default_rng(3)
+    small = ["".join(rng.choice(list("ab \n\t"), rng.integers(0, 60))) for _ in range(150)]
+    pairs = [(i, t) for i, t in enumerate([*small, *[t.replace(" ", " \n") for t in small], " " * 50, " " * 99, "ab " * 30])]
+    groups = defaultdict(list)
+    for d, t in pairs:
+        groups[norm(t)].append(d)
+    monkeypatch.setattr(exact_dedup, "HUGE", 20)
+    monkeypatch.setattr(exact_dedup, "PIECE", 7)
+    check(exact_dedup.exact_groups(spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)).collect())
+    for t in small:
+        data, whole = t.encode(), exact_dedup.Part(0, 0, False, False)
+        for i in range(0, len(data), 5):
+            whole = exact_dedup.joined(whole, exact_dedup.part_of(data[i : i + 5]))
+        assert whole.packed()[:24] == exact_dedup.fingerprint(exact_dedup.normalised(data))
+
+
 def test_exact(docs, none):
     norm = lambda t: (b" " if t[:1].isspace() else b"") + b" ".join(t.split()) + (b" " if t[-1:].isspace() and t.split() else b"")
     pairs = [(d, norm((t or "").encode())) for d, t in ids_and_texts()]
