@@ -420,6 +420,72 @@ def test_a_notice_goes_wherever_its_pages_lie(spark, monkeypatch):
     assert len({got[0][2000 + i] for i in range(40)}) == 1 and got[0][2000].startswith("w9000x0")
 
 
+def test_passages_inside_differing_blocks_go_wherever_their_pages_lie(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "GROUP_PAGES", 16)
+    monkeypatch.setattr(html_text, "LEAST_PART", 64)
+    words = lambda tag, i, n: " ".join(f"{tag}{i}x{j}" for j in range(n))
+    passage = words("shared", 0, 40)
+    data = [(i, "http://a.org/", f"<p>{words('w', i, 60)}</p>" + (f"<p>{words('v', i, 5)} {passage} {words('u', i, 5)}</p>" if i in (7, 150, 280) else "")) for i in range(300)]
+    data += [(1000 + i, "http://b.org/", f"<p>{words('w', i, 60)}</p><p>{words('v', i, 5)} {passage}</p>") for i in range(2)]
+    for parts in (1, 7):
+        got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string").repartition(parts)).collect()}
+        assert got == {**{i: words("w", i, 60) for i in range(300)}, **{1000 + i: f"{words('w', i, 60)}\n{words('v', i, 5)} {passage}" for i in range(2)}}
+
+
+def test_main_texts_by_brute_force_over_whole_hosts(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    passages = [" ".join(f"p{k}y{j}" for j in range(int(rng.integers(8, 30)))) for k in range(60)]
+    own = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    data = []
+    for i in range(400):
+        some = [passages[k] for k in rng.integers(0, 60, rng.integers(0, 4))]
+        html = "".join(f"<p>{own(f'{i}b{k}', int(rng.integers(0, 12)))} {x} {own(f'{i}c{k}', int(rng.integers(0, 6)))}</p>" for k, x in enumerate(some)) + f"<p>{own(i if i % 5 else i % 50, int(rng.integers(0, 30)))}</p>"
+        data.append((i, f"http://h{i % 3 and 1}.org/{i}", f"<nav>{passages[i % 60]}</nav><article>{html}</article>" if i % 4 == 0 else html))
+    data += [(400 + i, "http://h1.org/", data[i % 7][2]) for i in range(30)]
+
+    def brute(htmls):
+        pages = [html_text.blocks_of(h) for h in htmls]
+        fits = [html_text.in_question(b) for b in pages]
+        contents = [tuple(b.text for b, f in zip(p, fit) if f) for p, fit in zip(pages, fits)]
+        tokens = [[(w, f, k) for k, (b, f) in enumerate(zip(p, fit)) for w in (f"<{b.never:d}{b.main:d}>", *b.text.split())] for p, fit in zip(pages, fits)]
+        runs = [[tuple(w for w, _, _ in t[k : k + 8]) for k in range(len(t) - 7)] for t in tokens]
+
+        def covered(on):
+            places = defaultdict(set)
+            for r, c, o in zip(runs, contents, on):
+                for x in r if o else ():
+                    places[x].add(c)
+            return [[any(len(places[x]) >= 3 for x in r[max(0, k - 7) : k + 1]) for k in range(len(t))] for r, t in zip(runs, tokens)]
+
+        first = covered([True] * len(pages))
+        fit = [sum(f for _, f, _ in t) for t in tokens]
+        free = [sum(f and not c for (_, f, _), c in zip(t, cover)) for t, cover in zip(tokens, first)]
+        last = covered([n > 0 and m >= 0.2 * n for n, m in zip(fit, free)])
+
+        def stays(t, cover, k):
+            own = [c for (_, _, x), c in zip(t, cover) if x == k]
+            return sum(own) < 0.7 * len(own)
+
+        return ["\n".join(b.text for k, (b, f) in enumerate(zip(p, fit)) if f and stays(t, cover, k)) for p, fit, t, cover in zip(pages, fits, tokens, last)]
+
+    expect = {}
+    for url in ("http://h0", "http://h1"):
+        mine = [(i, h) for i, u, h in data if u.startswith(url)]
+        expect |= dict(zip([i for i, _ in mine], brute([h for _, h in mine])))
+    for pages, parts in ((8, 5), (512, 3), (1, 2)):
+        monkeypatch.setattr(html_text, "GROUP_PAGES", pages)
+        monkeypatch.setattr(html_text, "LEAST_PART", 8 * pages)
+        df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(parts)
+        assert {r.page_id: r.text for r in html_text.extract(df).collect()} == expect
+
+
+def test_numbers_coded_by_gaps():
+    rng = np.random.default_rng(5)
+    for n, most in ((0, 10), (1, 1 << 63), (1000, 1000), (1000, 1 << 20), (500, 1 << 44), (300, 1 << 63)):
+        x = np.unique(rng.integers(0, most, n).astype(np.uint64))
+        assert html_text.decoded(html_text.coded(x)).tolist() == x.tolist()
+
+
 def test_repeated_runs_by_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(20):
