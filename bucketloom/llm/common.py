@@ -102,26 +102,38 @@ def _let_go(turn: int) -> None:
         _trim()
 
 
+# What ``wrapped`` does to the worker's state stands in functions of the module: those are pickled by name, whereas ``wrapped``
+# is pickled by value, with copies of the globals that it names itself.
+def _begin(module: str) -> None:
+    global _running, _turn
+    be_lean()
+    _running += 1
+    _turn += 1
+    if _kept.get("") != module:
+        _kept.clear()
+        _trim()
+        _kept[""] = module
+
+
+def _end() -> None:
+    global _running
+    _running -= 1
+    _trim()
+    later = threading.Timer(IDLE, _let_go, (_turn,))
+    later.daemon = True
+    later.start()
+
+
 def in_worker(run):
     """Wraps a function of Arrow batches. Workers are reused by all operators, so each keeps tables of one module at a time, and none while it has no task."""
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        global _running, _turn
-        be_lean()
-        _running += 1
-        _turn += 1
-        if _kept.get("") != run.__module__:
-            _kept.clear()
-            _kept[""] = run.__module__
+        _begin(run.__module__)
         try:
             yield from run(batches)
         finally:
-            _running -= 1
-            _trim()
-            later = threading.Timer(IDLE, _let_go, (_turn,))
-            later.daemon = True
-            later.start()
+            _end()
 
     return wrapped
 

@@ -39,7 +39,9 @@ ITERATIONS = 25
 #: Trigrams whose entries are added up at a time where the model isn't one table.
 SPARSE_STEP = 1 << 14
 #: Texts of a batch, in bytes, whose windows are computed together.
-BATCH = 2 << 20
+BATCH = 1 << 19
+#: Numbers of the dense table that are added up at a time.
+CELLS = 1 << 20
 
 _letters: np.ndarray | None = None
 
@@ -100,7 +102,12 @@ class Model:
         """Log likelihood of each window of trigrams, which begin at ``first``, by language."""
         n = len(self.languages)
         if n <= DENSE:
-            return np.add.reduceat(self.dense[grams], first, axis=0, dtype=np.float64)
+            step, out = max(1, CELLS // (n * WINDOW)), np.empty((len(first), n))
+            for i in range(0, len(first), step):
+                own = first[i : i + step]
+                end = first[i + step] if i + step < len(first) else len(grams)
+                np.add.reduceat(self.dense[grams[own[0] : end]], own - own[0], axis=0, dtype=np.float64, out=out[i : i + step])
+            return out
         size = np.diff(np.append(first, len(grams)))
         out = size[:, None] * self.unseen
         of = np.repeat(np.arange(len(first)), size)

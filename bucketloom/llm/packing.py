@@ -32,8 +32,8 @@ from bucketloom.llm.common import Recent, Tables, bounded, in_worker, kept, only
 CAPACITY, END_ID = 4096, 1
 SLACK = 16
 LOCAL_PIECES, NODE_BINS, FAN_IN = 32_768, 20_000, 8
-#: Entries of each generation of a worker's tables of words.
-WORDS = 400_000
+#: Entries of each generation of a worker's table of words.
+WORDS = 340_000
 
 
 class BestFit:
@@ -79,7 +79,7 @@ _STEM = re.compile(rb"([A-Za-z\x80-\xff]*[A-Za-z])([,.;:!?|%&*#$]+)")
 
 
 class Tokens:
-    """Ids of whole texts by the library, with tables of words met before."""
+    """Ids of whole texts by the library, with a table of words met before."""
 
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -88,7 +88,7 @@ class Tokens:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words, self.stems = Recent(WORDS), Recent(WORDS)
+        self.words = Recent(WORDS)
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         out = []
@@ -98,7 +98,7 @@ class Tokens:
         return out
 
     def _missing(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that aren't in the table, put together from their stems'."""
+        """Ids of words that aren't in the table, put together from their stems'. A stem alone is a word with the same ids, so one table holds both."""
         known: dict[bytes, bytes] = {}
         parts: dict[bytes, tuple[bytes, ...]] = {}
         for w in words:
@@ -109,15 +109,15 @@ class Tokens:
             m = _STEM.fullmatch(w)
             # ASCII capitals are lower-cased by the vocabulary anyway; not where a special token could come of it.
             parts[w] = tuple(x if b"<" in w else x.lower() for x in (m.groups() if m else (w,)))
-        stems = {x: self.stems.get(x) for ps in parts.values() for x in ps}
+        stems = {x: known.get(x) or self.words.get(x) for ps in parts.values() for x in ps}
         todo = [x for x, ids in stems.items() if ids is None]
         for x, ids in zip(todo, self._ids(todo), strict=True):
             stems[x] = ids
             if len(x) <= 64:
-                self.stems.put(x, ids)
+                self.words.put(x, ids)
         for w, ps in parts.items():
             known[w] = b"".join(map(stems.__getitem__, ps))
-            if len(w) <= 64:
+            if len(w) <= 64 and ps != (w,):
                 self.words.put(w, known[w])
         return known
 

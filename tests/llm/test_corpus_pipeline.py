@@ -1,15 +1,18 @@
 """The pipeline's stages against plain Python, each on what the stage before it kept, edge rows included."""
 
 import re
+import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from bucketloom.llm import language_id, quality
+from bucketloom.llm import common, language_id, packing, quality
 from tests.llm.test_edge_cases import DOCS, brute_components, rows
 
 _RNG = np.random.default_rng(5)
@@ -91,3 +94,58 @@ def test_every_stage_by_plain_python(spark, folder):
 def test_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def held(spark, wrap):
+    """Of each task on a worker: how often the worker took up an operator's task, and the tables that it has."""
+
+    def look(batches):
+        for _ in batches:
+            pass
+        time.sleep(0.3)  # so that every worker gets a task
+        yield pa.RecordBatch.from_pylist([{"turn": common._turn, "tables": [k for k in common._kept if k]}])
+
+    look.__module__ = "elsewhere"
+    got = spark.range(4).repartition(4).mapInArrow(wrap(look), "turn long, tables array<string>").collect()
+    return max(r.turn for r in got), [k for r in got for k in r.tables]
+
+
+def test_workers_let_their_tables_go(spark, folder):
+    common.ship(spark)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+
+    def pack():
+        assert packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).count() >= docs.count()
+
+    pack()
+    turn, tables = held(spark, common.in_worker)  # a task of another module
+    assert turn > 0 and not tables
+    pack()
+    time.sleep(common.IDLE + 1)
+    turn, tables = held(spark, lambda look: look)  # no task since
+    assert turn > 0 and not tables
+
+
+def test_likelihood_takes_bounded_memory(monkeypatch):
+    n, rng = language_id.DENSE, np.random.default_rng(3)
+    begin = np.arange(language_id.BUCKETS + 1)
+    model = language_id.Model(tuple(map(str, range(n))), rng.random(n), begin, rng.integers(0, n, language_id.BUCKETS), rng.random(language_id.BUCKETS), np.zeros(n))
+    grams, first = rng.integers(0, language_id.BUCKETS, 400_007), np.arange(0, 400_007, language_id.WINDOW)
+    plain = np.add.reduceat(model.dense[grams], first, axis=0, dtype=np.float64)
+    tracemalloc.start()
+    got = model.likelihood(grams, first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, plain)
+    assert peak < 20 << 20  # the table's rows of all trigrams at once would be 49 MB
+    monkeypatch.setattr(language_id, "CELLS", 1)
+    assert np.array_equal(model.likelihood(grams, first), plain)
+
+
+def test_words_and_stems_share_a_table():
+    vocabulary = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    plain, ours = Tokenizer.from_str(vocabulary), packing.Tokens(vocabulary)
+    texts = ["stop", "Stop, stop. STOP!! stop", "x" * 80 + ", x" + " \u200b \u0301 <s> <S>, </s>; a<b", "stop, stop", "Äpfel, äpfel ÄPFEL. äpfel,"]
+    for t in [*texts, *reversed(texts)]:
+        assert np.frombuffer(ours([t.encode()])[0], "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    assert ours.words.get(b"stop,") and ours.words.get(b"stop") and not hasattr(ours, "stems")
