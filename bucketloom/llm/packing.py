@@ -33,7 +33,7 @@ CAPACITY, END_ID = 4096, 1
 SLACK = 16
 LOCAL_PIECES, NODE_BINS, FAN_IN = 32_768, 20_000, 8
 #: Entries of each generation of a worker's table of words.
-WORDS = 340_000
+WORDS = 500_000
 
 
 class BestFit:
